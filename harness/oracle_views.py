@@ -47,6 +47,31 @@ SELECT s_suppkey AS id, CAST(s_nationkey AS INT) + 1 AS iso_id,
     "payments": """
 SELECT i.id AS iso_id, r.date, CAST(ROUND(SUM(r.house_residual) * CAST(0.98 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS bank_amount
 FROM revenue r JOIN iso i ON r.iso = i.iso WHERE i.id % 4 <> 0 GROUP BY i.id, r.date""",
+    "stmt_lines": """
+SELECT concat(iso, CASE mon % 3 WHEN 0 THEN '_' ELSE ' ' END,
+    list_element(['Jan','February','Mar','April','May','June','Jul','August','Sept','October','Nov','December'], mon),
+    CASE mon % 3 WHEN 0 THEN '_' WHEN 1 THEN '' ELSE ' ' END, yr, CASE mon % 3 WHEN 2 THEN ' residuals' ELSE '' END, '.csv') AS path,
+  CAST(substr(mid, 5) AS BIGINT) AS pos, id, iso, date, mid, dba, volume, total_residual, house_residual, 1 + id % 3 AS hdr,
+  concat(iso, ' ', list_element(['January','February','March','April','May','June','July','August','September','October','November','December'], mon), ' ', yr, '.csv') AS full_path,
+  concat(iso, ' ', mid, ' ', list_element(['Jan','February','Mar','April','May','June','Jul','August','Sept','October','Nov','December'], mon), yr, '.xlsx') AS line_path
+FROM (SELECT r.*, i.id, CAST(EXTRACT(MONTH FROM r.date) AS INT) AS mon, CAST(EXTRACT(YEAR FROM r.date) AS VARCHAR) AS yr
+  FROM revenue r JOIN iso i ON r.iso = i.iso) x""",
+    # statement grid of the generic layout, as cells
+    "cells": """
+SELECT path, sheet_idx, row_idx, col_idx, value, 's' AS kind FROM (
+  SELECT DISTINCT path, 0 AS sheet_idx, CAST(0 AS BIGINT) AS row_idx, 0 AS col_idx, 'Residual report' AS value FROM stmt_lines
+  UNION ALL SELECT DISTINCT path, 0, hdr, 0, 'Merchant ID' FROM stmt_lines
+  UNION ALL SELECT DISTINCT path, 0, hdr, 1, 'Merchant' FROM stmt_lines
+  UNION ALL SELECT DISTINCT path, 0, hdr, 2, 'Sales Amount' FROM stmt_lines
+  UNION ALL SELECT DISTINCT path, 0, hdr, 3, 'Net' FROM stmt_lines
+  UNION ALL SELECT DISTINCT path, 0, hdr, 4, 'Agent Net' FROM stmt_lines
+  UNION ALL SELECT path, 0, hdr + 1 + pos, 0, CASE WHEN pos % 5 = 0 THEN concat(substr(mid, 1, 4), '-', substr(mid, 5)) ELSE mid END FROM stmt_lines
+  UNION ALL SELECT path, 0, hdr + 1 + pos, 1, dba FROM stmt_lines
+  UNION ALL SELECT path, 0, hdr + 1 + pos, u.col_idx, CASE WHEN x < 0 THEN concat('(', CAST(-x AS VARCHAR), ')')
+      WHEN x >= 1000 THEN concat('$', format('{:,.2f}', CAST(x AS DOUBLE))) ELSE CAST(x AS VARCHAR) END
+    FROM (SELECT path, hdr, pos, 2 AS col_idx, volume AS x FROM stmt_lines UNION ALL SELECT path, hdr, pos, 3, total_residual FROM stmt_lines
+      UNION ALL SELECT path, hdr, pos, 4, house_residual FROM stmt_lines) u
+  UNION ALL SELECT DISTINCT path, 0, CAST(9000000000 AS BIGINT), 0, 'Total' FROM stmt_lines) c""",
 }
 
 
