@@ -38,7 +38,7 @@ def lines(v: Views) -> DataFrame:
     )
     return v.revenue.join(v.iso.select("id", "iso"), "iso").select(
         path.alias("path"), F.substring("mid", 5, 12).cast("bigint").alias("pos"), "id", "iso", "date",
-        "mid", "dba", "volume", "total_residual", "house_residual",
+        "mid", "dba", "volume", "total_residual", "house_residual", F.lit(True).alias("dashes"),
         F.concat("iso", F.lit(" "), F.element_at(_strings(FULL), month), F.lit(" "), year, F.lit(".csv")).alias("full_path"),
         F.concat("iso", F.lit(" "), "mid", F.lit(" "), F.element_at(_strings(TOKENS), month), year, F.lit(".xlsx")).alias("line_path"),
     )
@@ -125,8 +125,9 @@ def dba() -> tuple[Column, str]:
 
 
 def dashed() -> Column:
+    """The id as the statement writes it: with a dash on every fifth line."""
     cut = F.concat(F.substring("mid", 1, 4), F.lit("-"), F.substring("mid", 5, 12))
-    return F.when(pos() % 5 == 0, cut).otherwise(F.col("mid"))
+    return F.when((pos() % 5 == 0) & F.col("dashes"), cut).otherwise(F.col("mid"))
 
 
 def title() -> Column:

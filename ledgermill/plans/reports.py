@@ -431,7 +431,7 @@ def recent_changes(t: LedgerTables, as_of: str | dt.datetime, days: int = 1) ->
     if days not in CHANGE_WINDOWS:
         raise ValueError(f"days must be one of {CHANGE_WINDOWS}")
     clock = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    since = F.lit(clock - dt.timedelta(days=days))
+    since = F.lit(str(clock - dt.timedelta(days=days))).cast("timestamp_ntz")
     kept = [c for c in LEDGER_COLUMNS if c not in ("updated_by",)]
     doubles = {*LINE_MONEY, *[c for c in AGENT_COLUMNS if not c.endswith("name")]}
     return (

@@ -30,7 +30,7 @@ LEDGER_SCHEMA = (
     f"volume {MONEY}, total_residual {MONEY}, house_residual {MONEY}, "
     f"agent1_name string, agent1_percentage {PERCENT}, agent1_payout {MONEY}, "
     f"agent2_name string, agent2_percentage {PERCENT}, agent2_payout {MONEY}, "
-    "updated_by string, updated_at timestamp"
+    "updated_by string, updated_at timestamp_ntz"
 )
 LEDGER_COLUMNS = (
     "date", "iso", *TARGETS, *AGENT_COLUMNS, "updated_by", "updated_at",

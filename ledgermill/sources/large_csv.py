@@ -1,0 +1,101 @@
+"""CSV files that are too large to be one value.
+
+Lines are read in splits. Whether a line starts inside a quoted field depends on all lines
+before it, so every line is described by what it does to that state (keep, flip, open, close);
+descriptions are combined inside a split, splits are combined per file, and only lines that
+continue a record are glued together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ledgermill.functions.text import stripped
+from ledgermill.schemas import GRID_COLUMNS
+from ledgermill.sources.csv_cells import fields
+
+# Matches a text whose last field is an unfinished quoted one.
+_CLOSED = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
+_OPEN = rf'(?s)^(?:{_CLOSED},)*+"[^"]*+(?:""[^"]*+)*+\z'
+SPLIT = ["path", "block"]
+
+
+def _opens(line: Column) -> Column:
+    return line.rlike(_OPEN).cast("int")
+
+
+def line_records(lines: DataFrame) -> DataFrame:
+    """Records of lines given as ``path, block, seq, line``: ``block`` orders the splits of a
+    file and ``seq`` the lines of a split. Returns ``path, row_idx, record`` without blanks."""
+    outside, inside = _opens(F.col("line")), _opens(F.concat(F.lit('"'), "line"))
+    order = Window.partitionBy(*SPLIT).orderBy("seq")
+    prior = order.rowsBetween(Window.unboundedPreceding, -1)
+    states = lines.select(*SPLIT, "seq", "line", outside.alias("f0"), inside.alias("f1"))
+    states = states.withColumn("flips", F.sum(F.when((F.col("f0") == 1) & (F.col("f1") == 0), 1).otherwise(0)).over(order))
+    reset = F.when(F.col("f0") == F.col("f1"), F.struct("f0", "flips"))
+    states = states.withColumns({
+        "before": F.coalesce(F.max("flips").over(prior), F.lit(0)),
+        "reset": F.last(reset, ignorenulls=True).over(prior),
+        "reset_after": F.last(reset, ignorenulls=True).over(order),
+    })
+
+    def state(start: int, flips: str, mark: str) -> Column:
+        since = F.col(flips) - F.coalesce(F.col(f"{mark}.flips"), F.lit(0))
+        return (F.coalesce(F.col(f"{mark}.f0"), F.lit(start)) + since) % 2
+
+    states = states.withColumns({
+        f"s{s}": state(s, "before", "reset") for s in (0, 1)
+    } | {f"e{s}": state(s, "flips", "reset_after") for s in (0, 1)})
+    # A line starts a record when the state before it is "outside"; blank lines start none.
+    blank = stripped(F.col("line")) == ""
+    starts = {s: ((F.col(f"s{s}") == 0) & ~blank).cast("int") for s in (0, 1)}
+    last = F.max("seq").alias("_last")
+    splits = states.groupBy(*SPLIT).agg(
+        last, *[F.max_by(f"e{s}", "seq").alias(f"e{s}") for s in (0, 1)],
+        *[F.sum(starts[s]).alias(f"n{s}") for s in (0, 1)],
+    )
+    # The splits of one file, a few thousand at most even for a terabyte, are folded in order.
+    ordered = F.sort_array(F.collect_list(F.struct("block", "e0", "e1", "n0", "n1")))
+    start = F.struct(F.lit(0).alias("state"), F.lit(0).cast("bigint").alias("n"),
+                     F.expr("cast(array() as array<struct<block:bigint,state:int,n:bigint>>)").alias("out"))
+    folded = F.aggregate(
+        "splits", start,
+        lambda acc, b: F.struct(
+            F.when(acc["state"] == 0, b["e0"]).otherwise(b["e1"]).cast("int").alias("state"),
+            (acc["n"] + F.when(acc["state"] == 0, b["n0"]).otherwise(b["n1"])).alias("n"),
+            F.concat(acc["out"], F.array(F.struct(b["block"].alias("block"), acc["state"].alias("state"), acc["n"].alias("n")))).alias("out"),
+        ),
+        lambda acc: acc["out"],
+    )
+    entry = splits.groupBy("path").agg(ordered.alias("splits")).select("path", F.inline(folded)).select(
+        "path", "block", F.col("state").alias("entry"), F.col("n").alias("offset")
+    )
+    placed = states.join(entry, SPLIT).withColumn(
+        "starts", F.when(F.col("entry") == 0, starts[0]).otherwise(starts[1])
+    ).withColumn("inside", F.when(F.col("entry") == 0, F.col("s0")).otherwise(F.col("s1")))
+    numbered = placed.withColumn("row_idx", F.col("offset") + F.sum("starts").over(order) - 1).filter(
+        (F.col("starts") == 1) | (F.col("inside") == 1)
+    )
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("block", "seq", "line"))), lambda p: p["line"])
+    return numbered.groupBy("path", "row_idx").agg(F.concat_ws("\n", pieces).alias("record"))
+
+
+def read_lines(spark: SparkSession, glob: str, above_bytes: int) -> DataFrame:
+    """Lines of the files larger than ``above_bytes``, with split start and order in the split."""
+    large = spark.read.text(glob).filter(F.col("_metadata.file_size") > above_bytes)
+    return large.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
+        F.col("value").alias("line"),
+    )
+
+
+def read_large_csv_grid(spark: SparkSession, glob: str, above_bytes: int) -> DataFrame:
+    decoded = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    rows = line_records(read_lines(spark, glob, above_bytes))
+    return rows.select(
+        decoded.alias("path"), F.lit(0).alias("sheet_idx"), F.lit("CSV").alias("sheet"),
+        F.lit(True).alias("is_active"), F.col("row_idx").cast("bigint").alias("row_idx"),
+        fields(F.regexp_replace("record", "^﻿", "")).alias("cells"),
+    ).select(*GRID_COLUMNS)
