@@ -21,6 +21,8 @@ from ledgermill.sources import csv_cells, merchant_bulk, sinks, workbook_cells
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 CLOCK = "2002-01-01 00:00:00"
+# Used only where the session names no shared folder, as in a local run.
+SHARED = f"/tmp/ledgermill-{uuid.uuid4().hex}"
 
 
 def register(name: str, make, sql: str | None) -> None:
@@ -121,7 +123,7 @@ LOADED_BEFORE = "1996-07-01"
 def mixed_grid(v: Views) -> DataFrame:
     """The whole ledger as statements, each partner in its own layout. Dashed ids, which no
     merchant has, occur in March only."""
-    rows = W.lines(v).withColumn("dashes", F.month("date") == 3)
+    rows = staging(v)(W.lines(v).withColumn("dashes", F.month("date") == 3), "ledger_lines")
     grid = None
     for k, family in enumerate(FAMILIES):
         part = W.WRITERS[family](rows.filter((F.col("id") - 1) % len(FAMILIES) == k)).drop("iso", "date")
@@ -129,12 +131,17 @@ def mixed_grid(v: Views) -> DataFrame:
     return grid
 
 
+def staging(v: Views):
+    return sinks.stage_in(v.spark, sinks.shared_folder(v.spark, SHARED))
+
+
 def mixed_load(v: Views) -> load.LoadResult:
-    grid = mixed_grid(v)
+    stage = staging(v)
+    grid = stage(mixed_grid(v), "fixture_grid")
     names = identity.identify(grid.select("path").distinct(), registry(v), RULES)
     before = v.revenue.filter(F.col("date") < F.lit(LOADED_BEFORE).cast("date"))
     tables = type(v.tables)(**{**v.tables.__dict__, "revenue": before})
-    return load.load_statements(grid, names, registry(v), tables, "loader", CLOCK)
+    return load.load_statements(grid, names, registry(v), tables, "loader", CLOCK, stage=stage)
 
 
 def _mixed_expected() -> str:
@@ -400,7 +407,7 @@ FROM customer CROSS JOIN (VALUES (0, 0, 0, 'Residual report', 's'), (0, 0, 2, 'R
 
 def written_ledger(v: Views) -> DataFrame:
     """The ledger written in two appends to the cluster's shared folder, read back."""
-    folder = f"{sinks.shared_folder(v.spark, '/tmp/ledgermill')}/ledger-{uuid.uuid4().hex}"
+    folder = f"{sinks.shared_folder(v.spark, SHARED)}/ledger-{uuid.uuid4().hex}"
     old = F.col("date") < F.lit("1998-01-01").cast("date")
     sinks.append_ledger(v.revenue.filter(old), folder)
     sinks.append_ledger(v.revenue.filter(~old), folder)

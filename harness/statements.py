@@ -94,7 +94,11 @@ def heads(rows: DataFrame, path: str = "path") -> DataFrame:
 
 
 def header(names: Sequence[str], columns: Sequence[int] | None = None) -> Column:
-    return row(*[(n, "s") for n in names], columns=columns)
+    cells = ", ".join(
+        f"named_struct('col_idx', {i}, 'value', '{n}', 'kind', 's')"
+        for i, n in zip(columns or range(len(names)), (n.replace("\n", "\\n") for n in names))
+    )
+    return F.expr(f"cast(array({cells}) AS {CELLS})")
 
 
 def tabular(rows: DataFrame, statement: list[tuple], line: list[tuple], path: str = "path") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,11 @@ def slug(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), "[^a-z0-9_]", "")
 
 
+def slug_name(name: str) -> str:
+    """:func:`slug` of a constant."""
+    return re.sub("[^a-z0-9_]", "", name.lower())
+
+
 def letters_and_digits(text: Column) -> Column:
     """Lower case ASCII letters and digits only, for substring matching of names."""
     return F.lower(F.regexp_replace(text, "[^a-zA-Z0-9]", ""))

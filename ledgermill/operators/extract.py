@@ -54,10 +54,6 @@ def _case(specs: Iterable[Layout], pick: Callable[[Layout], object], build: Call
     return out
 
 
-def _text_array(names: Iterable[str]) -> Column:
-    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
-
-
 def with_family(grid: DataFrame, family: str) -> DataFrame:
     """A grid of one known layout, with empty identity columns where it has none."""
     for name, kind in (("iso", "string"), ("date", "date"), ("layout", "string")):
@@ -75,6 +71,31 @@ def registry_headers(registry: DataFrame) -> DataFrame:
     )
 
 
+def _literal(names: Iterable[str]) -> str:
+    quoted = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names)
+    return f"cast(array({quoted}) AS array<string>)"
+
+
+def _wanted(specs: list[Layout], slot: str, candidates: dict[str, dict[str, list[str]]]) -> str:
+    """SQL for the headers that can stand for ``slot``, in order of preference, per family.
+
+    Written as text: it is all literals, and one expression is far cheaper to hand to the JVM
+    than a Column per header name.
+    """
+    branches = []
+    for spec in specs:
+        if spec.name == "generic":
+            value = f"array_compact(array(try_element_at(sources, '{slot}')))"
+        elif spec.name == "multi_sheet":
+            sheets = [f"WHEN {_literal([sheet])}[0] THEN {_literal(c[slot])}" for sheet, c in candidates.items() if slot in c]
+            value = f"CASE sheet {' '.join(sheets)} ELSE {_literal([])} END" if sheets else _literal([])
+        else:
+            names = [spec.headers[slot]] if slot in spec.headers else []
+            value = _literal(text.slug_name(n) if spec.clean is text.slug else n for n in names)
+        branches.append(f"WHEN '{spec.name}' THEN {value}")
+    return f"CASE family {' '.join(branches)} ELSE {_literal([])} END"
+
+
 def find_headers(
     grid: DataFrame, specs: list[Layout], registry: DataFrame | None = None,
     sheet_candidates: dict[str, dict[str, list[str]]] | None = None,
@@ -95,43 +116,31 @@ def find_headers(
         condition = here if condition is None else condition | here
     headers = grids.first_rows(rows, condition, *keep)
 
-    headers = headers.withColumn("texts", _case(specs, lambda s: s.clean, grids.header_texts))
-    headers = headers.withColumn("reversed", F.col("family").isin([s.name for s in specs if s.last_duplicate]))
-    candidates = sheet_candidates or SHEET_CANDIDATES
-
-    def wanted(slot: str) -> Column:
-        def build(spec: Layout) -> Column:
-            if spec.name == "generic":
-                source = F.try_element_at(F.col("sources"), F.lit(slot))
-                return F.array_compact(F.array(source))
-            if spec.name == "multi_sheet":
-                by_sheet = {s: c[slot] for s, c in candidates.items() if slot in c}
-                if not by_sheet:
-                    return _text_array([])
-                lookup = F.create_map(*[x for s, c in by_sheet.items() for x in (F.lit(s), _text_array(c))])
-                return F.coalesce(F.try_element_at(lookup, F.col("sheet")), _text_array([]))
-            header = spec.headers.get(slot)
-            return _text_array([]) if header is None else F.array(spec.clean(F.lit(header)))
-        return _case(specs, lambda s: s, build)
-
-    headers = headers.withColumns({f"want_{slot}": wanted(slot) for slot in SLOTS})
-    located = {
-        f"at_{slot}": F.when(
-            F.col("reversed"), grids.first_candidate(F.col("texts"), F.col(f"want_{slot}"), last=True)
-        ).otherwise(grids.first_candidate(F.col("texts"), F.col(f"want_{slot}")))
+    reversed_names = [s.name for s in specs if s.last_duplicate]
+    cleaned = headers.withColumns({
+        "texts": _case(specs, lambda s: s.clean, grids.header_texts),
+        "columns": F.col("header")["col_idx"],
+        **{f"want_{slot}": F.expr(_wanted(specs, slot, sheet_candidates or SHEET_CANDIDATES)) for slot in SLOTS},
+    })
+    if reversed_names:
+        last_wins = F.col("family").isin(reversed_names)
+        cleaned = cleaned.withColumns({
+            c: F.when(last_wins, F.reverse(c)).otherwise(F.col(c)) for c in ("texts", "columns")
+        })
+    located = cleaned.withColumns({
+        f"at_{slot}": F.expr(
+            f"get(array_compact(transform(want_{slot}, "
+            "w -> get(columns, cast(array_position(texts, w) - 1 AS int)))), 0)"
+        )
         for slot in SLOTS
-    }
-    headers = headers.withColumns(located)
-    lacking = F.lit(False)
-    repeated = F.lit(False)
-    for slot in SLOTS:
-        lacking = lacking | ((F.size(f"want_{slot}") > 0) & F.col(f"at_{slot}").isNull())
-        repeated = repeated | grids.is_repeated(F.col("texts"), F.get(F.col(f"want_{slot}"), F.lit(0)))
+    })
+    lacking = " OR ".join(f"(size(want_{s}) > 0 AND at_{s} IS NULL)" for s in SLOTS)
+    repeated = " OR ".join(f"size(filter(texts, t -> t = get(want_{s}, 0))) > 1" for s in SLOTS)
     strict = [s.name for s in specs if not s.optional]
-    headers = headers.withColumn(
+    headers = located.withColumn(
         "problem",
-        F.when(F.col("family").isin(strict) & lacking, REJECT_COLUMNS)
-        .when((F.col("family") == "generic") & F.coalesce(repeated, F.lit(False)), REJECT_DUPLICATE),
+        F.when(F.col("family").isin(strict) & F.expr(lacking), REJECT_COLUMNS)
+        .when((F.col("family") == "generic") & F.coalesce(F.expr(repeated), F.lit(False)), REJECT_DUPLICATE),
     )
     if "first_valid_sheet" in names:
         # one row per sheet of a workbook: the group is bounded by the number of sheets
@@ -151,7 +160,7 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
     )
     cells = joined.select(
         "path", "sheet_idx", "sheet", "row_idx", "iso", "date", "family", "problem",
-        *[F.when(F.col("problem").isNull(), grids.cell_at(F.col(f"at_{s}"))).alias(s) for s in SLOTS],
+        *[F.when(F.col("problem").isNull(), F.expr(f"get(filter(cells, c -> c.col_idx = at_{s}), 0)")).alias(s) for s in SLOTS],
     )
     blank = F.lit(True)
     for slot in SLOTS:

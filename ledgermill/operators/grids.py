@@ -41,8 +41,10 @@ def cell_at(col_idx: Column | int, cells: Column | str = "cells") -> Column:
 
 def has_all(headers: Column) -> Column:
     """Every header is the exact text of some cell."""
-    return (F.size(headers) > 0) & (
-        F.size(F.array_except(headers, F.col("cells")["value"])) == 0
+    texts = F.col("cells")["value"]
+    # the first header alone rules out nearly every row
+    return F.array_contains(texts, F.get(headers, F.lit(0))) & (
+        F.size(F.array_except(headers, texts)) == 0
     )
 
 

@@ -9,6 +9,7 @@ very many lines is thereby combined map-side before the merchants are touched.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 from ledgermill.operators import column_blocks, extract, form_sheets
 from ledgermill.operators.layout_specs import layouts
 from ledgermill.schemas import AMOUNTS, LEDGER_COLUMNS, MONEY, PERCENT
+from ledgermill.sources import sinks
 from ledgermill.sources.tables import LedgerTables
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
 # Fixed value: merchant id of a lump-sum line.
 MANUAL_MID = "111123456"
 
@@ -185,14 +189,19 @@ def extract_all(grid: DataFrame, registry: DataFrame, id_prefix: str = column_bl
 def load_statements(
     grid: DataFrame, statements: DataFrame, registry: DataFrame, tables: LedgerTables,
     updated_by: str, updated_at: dt.datetime | str, match: str = "exact",
-    dba_mode: str = "first_line", stage=lambda df, name: df, **layout_options,
+    dba_mode: str = "first_line", stage: Stage | None = None, **layout_options,
 ) -> LoadResult:
     """The whole chain for one batch.
 
     ``statements`` comes from ``identify``; ``grid`` may hold rows of any of its paths.
-    ``stage`` may write an intermediate result to shared storage and return it read back;
-    without it the chain stays one lazy plan that recomputes shared parts.
+    Results that several later steps use are written once to shared storage and read back:
+    the decoded rows (split by layout family, so each layout reads its own files), the lines and
+    the checked lines. ``stage`` does that; by default it writes below ``spark.checkpoint.dir``.
     """
+    if stage is None:
+        spark = grid.sparkSession
+        stage = sinks.stage_in(spark, sinks.shared_folder(spark))
+    statements = stage(statements, "statements")
     usable = statements.filter("error IS NULL")
     loaded = already_loaded(usable, tables.revenue, match).select("path", F.lit(ALREADY_LOADED).alias("reason"))
     broken = grid.filter("sheet_idx < 0").select("path").distinct()

@@ -29,7 +29,7 @@ def stage_in(spark: SparkSession, folder: str) -> Callable[[DataFrame, str], Dat
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         writer = df.write.mode("error")
-        if "family" in df.columns:
+        if name == "grid":
             writer = writer.partitionBy("family")
         writer.parquet(f"{run}/{name}")
         return spark.read.schema(df.schema).parquet(f"{run}/{name}").select(*df.columns)
