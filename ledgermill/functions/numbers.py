@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # A cast alone would accept '1d' or 'Infinity'.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
+# Splits a double into two halves of its digits, whose products with 100 are exact.
+_SPLIT = float((1 << 27) + 1)
+
 
 def to_number(text: Column) -> Column:
     """DOUBLE of a plain decimal number, NULL for anything else."""
@@ -26,8 +29,18 @@ def exact(number: Column) -> Column:
 
 
 def cents(number: Column) -> Column:
-    """Nearest cent on binary doubles, ties to even."""
-    return F.rint(number * 100) / 100
+    """Nearest cent of the exact binary value, true ties to even.
+
+    ``number * 100`` can round onto a half that the value does not have (2.675 is a little less
+    than it looks). The error of that product is exact in doubles and decides such cases.
+    """
+    scaled = number * 100
+    wide = number * _SPLIT
+    high = wide - (wide - number)
+    error = (high * 100 - scaled) + (number - high) * 100
+    lower = F.floor(scaled).cast("double")
+    nearest = F.when((scaled - lower == 0.5) & (error != 0), F.when(error > 0, lower + 1).otherwise(lower))
+    return nearest.otherwise(F.rint(scaled)) / 100
 
 
 def without(text: Column, *symbols: str) -> Column:

@@ -66,14 +66,18 @@ def csv_grid(files: DataFrame) -> DataFrame:
     ).select(*GRID_COLUMNS, *carried)
 
 
-def list_files(spark: SparkSession, glob: str) -> DataFrame:
-    """``path, content, length`` of the files behind a glob. Content is read only if used."""
-    return spark.read.format("binaryFile").load(glob).select("path", "content", "length")
+def list_files(spark: SparkSession, location: str, names: str = "*") -> DataFrame:
+    """``path, content, length`` of the files below a folder or behind a glob whose name matches
+    ``names``. Content is read only if used."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", names)
+    return reader.option("recursiveFileLookup", "true").load(location).select("path", "content", "length")
 
 
-def read_csv_grid(spark: SparkSession, glob: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Grid rows of every CSV file behind ``glob``, whatever its size."""
+def read_csv_grid(
+    spark: SparkSession, location: str, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """Grid rows of every CSV file below a folder or behind a glob, whatever its size."""
     from ledgermill.sources.large_csv import read_large_csv_grid
 
-    small = list_files(spark, glob).filter(F.col("length") <= whole_file_bytes).drop("length")
-    return csv_grid(small).unionByName(read_large_csv_grid(spark, glob, whole_file_bytes))
+    small = list_files(spark, location, "*.csv").filter(F.col("length") <= whole_file_bytes).drop("length")
+    return csv_grid(small).unionByName(read_large_csv_grid(spark, location, whole_file_bytes))

@@ -81,9 +81,10 @@ def line_records(lines: DataFrame) -> DataFrame:
     return numbered.groupBy("path", "row_idx").agg(F.concat_ws("\n", pieces).alias("record"))
 
 
-def read_lines(spark: SparkSession, glob: str, above_bytes: int) -> DataFrame:
+def read_lines(spark: SparkSession, location: str, above_bytes: int) -> DataFrame:
     """Lines of the files larger than ``above_bytes``, with split start and order in the split."""
-    large = spark.read.text(glob).filter(F.col("_metadata.file_size") > above_bytes)
+    files = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").text(location)
+    large = files.filter(F.col("_metadata.file_size") > above_bytes)
     return large.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
@@ -91,9 +92,9 @@ def read_lines(spark: SparkSession, glob: str, above_bytes: int) -> DataFrame:
     )
 
 
-def read_large_csv_grid(spark: SparkSession, glob: str, above_bytes: int) -> DataFrame:
+def read_large_csv_grid(spark: SparkSession, location: str, above_bytes: int) -> DataFrame:
     decoded = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
-    rows = line_records(read_lines(spark, glob, above_bytes))
+    rows = line_records(read_lines(spark, location, above_bytes))
     return rows.select(
         decoded.alias("path"), F.lit(0).alias("sheet_idx"), F.lit("CSV").alias("sheet"),
         F.lit(True).alias("is_active"), F.col("row_idx").cast("bigint").alias("row_idx"),

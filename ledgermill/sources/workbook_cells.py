@@ -176,5 +176,5 @@ def workbook_grid(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode, GRID_SCHEMA)
 
 
-def read_workbook_grid(spark: SparkSession, glob: str) -> DataFrame:
-    return workbook_grid(list_files(spark, glob).filter(F.col("length") > 0))
+def read_workbook_grid(spark: SparkSession, location: str) -> DataFrame:
+    return workbook_grid(list_files(spark, location, "*.xlsx").filter(F.col("length") > 0))
