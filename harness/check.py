@@ -29,6 +29,8 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # small local files: split them over the cores all the same
+        .config("spark.sql.files.openCostInBytes", "262144")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -67,7 +67,7 @@ def _lookup(names: dict[str, int]) -> Column:
 
 def month_number(token: Column) -> Column:
     """Month of a full, three letter or ``Sept`` name in any case; NULL otherwise."""
-    return F.try_element_at(_lookup(MONTH_NUMBERS), F.initcap(token))
+    return F.try_element_at(_lookup({m.lower(): n for m, n in MONTH_NUMBERS.items()}), F.lower(token))
 
 
 def month_from_tokens(name: Column) -> Column:

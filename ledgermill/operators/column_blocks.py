@@ -18,6 +18,8 @@ VOLUME_LABELS = ("Visa/MC/Discover Interchange Dues", "AMEX Sponsorship Fee")
 TOTAL_END_LABEL = "Total Income"
 HOUSE_LABEL = "NET residuals for payout"
 
+_CELLS = "array<struct<col_idx:int,value:string,kind:string>>"
+
 
 def _headings(cells: Column) -> Column:
     """Heading cells with the first role each one's text stands for."""
@@ -49,19 +51,24 @@ def _blocks(grid: DataFrame, id_prefix: str) -> DataFrame:
     """
     label = F.col("label")
 
+    marks = grid.groupBy(*SHEET_KEYS).agg(
+        F.max(F.array_max(F.col("cells")["col_idx"])).alias("last_column"),
+        F.min(F.when((F.col("row_idx") >= HEADING_ROW) & F.contains(label, F.lit(TOTAL_END_LABEL)),
+                     F.col("row_idx"))).alias("total_end"),
+        F.min(F.when(F.contains(label, F.lit(HOUSE_LABEL)), F.col("row_idx"))).alias("house_row"),
+    )
+
     def row(index: int) -> Column:
         return F.max(F.when(F.col("row_idx") == index, F.col("cells")))
 
-    sheets = (
-        grid.groupBy(*SHEET_KEYS).agg(
-            F.max(F.array_max(F.col("cells")["col_idx"])).alias("last_column"),
-            row(DBA_ROW).alias("names"), row(MID_ROW).alias("ids"), row(HEADING_ROW).alias("heads"),
-            F.min(F.when((F.col("row_idx") >= HEADING_ROW) & F.contains(label, F.lit(TOTAL_END_LABEL)),
-                         F.col("row_idx"))).alias("total_end"),
-            F.min(F.when(F.contains(label, F.lit(HOUSE_LABEL)), F.col("row_idx"))).alias("house_row"),
-            F.first("iso").alias("iso"), F.first("date").alias("date"),
-        )
-        .withColumn("headings", _headings(F.coalesce("heads", F.expr("cast(array() as array<struct<col_idx:int,value:string,kind:string>>)"))))
+    # three rows per sheet
+    heads = grid.filter(F.col("row_idx").isin(DBA_ROW, MID_ROW, HEADING_ROW)).groupBy(*SHEET_KEYS).agg(
+        row(DBA_ROW).alias("names"), row(MID_ROW).alias("ids"),
+        F.coalesce(row(HEADING_ROW), F.expr(f"cast(array() as {_CELLS})")).alias("heads"),
+        F.first("iso").alias("iso"), F.first("date").alias("date"),
+    )
+    sheets = heads.filter("ids IS NOT NULL").withColumn("headings", _headings(F.col("heads"))).join(
+        marks, list(SHEET_KEYS)
     )
     starts = F.filter(
         F.transform(
@@ -107,7 +114,8 @@ def column_blocks(grid: DataFrame, id_prefix: str = ID_PREFIX) -> DataFrame:
         F.explode(F.map_from_arrays(F.array(*[F.lit(r) for r in HEADINGS]), F.array(*HEADINGS)))
         .alias("role", "col_idx"),
     )
-    cells = rows.select(*SHEET_KEYS, "row_idx", "label", F.inline("cells"))
+    # both sides grow with the statements: never broadcast the exploded cells
+    cells = rows.select(*SHEET_KEYS, "row_idx", "label", F.inline("cells")).drop("kind").hint("merge")
     amount = numbers.exact(numbers.money_lenient(F.col("value")))
     is_volume = F.lit(False)
     for text_label in VOLUME_LABELS:

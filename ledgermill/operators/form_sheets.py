@@ -26,8 +26,8 @@ def _first(value: Column, condition: Column) -> Column:
 def form_per_sheet(grid: DataFrame) -> DataFrame:
     """One line per sheet that has a merchant id label.
 
-    The first aggregation finds the labels, the second one the cells whose place depends on
-    them; both are keyed by sheet, so they share one shuffle and combine map-side.
+    The first aggregation sees only the few rows that hold a label; the second one finds the
+    cells whose place depends on those labels.
     """
     grid = with_family(grid, "form_per_sheet")
     label_text = grids.cell_at(F.lit(0))["value"]
@@ -38,7 +38,10 @@ def form_per_sheet(grid: DataFrame) -> DataFrame:
         F.filter(cells, lambda c: F.contains(c["value"], F.lit(VOLUME_HEADER))), lambda c: c["col_idx"]
     )
     labelled = {label: grids.has_marker(label) for label in (MID_LABEL, *NAME_LABELS, HOUSE_LABEL)}
-    sheets = grid.groupBy(*SHEET_KEYS).agg(
+    marked_rows = grids.has_marker(VOLUME_HEADER)
+    for found in labelled.values():
+        marked_rows = marked_rows | found
+    sheets = grid.filter(marked_rows).groupBy(*SHEET_KEYS).agg(
         *[
             F.struct(F.max(F.when(labelled[label], F.lit(True))).alias("seen"),
                      _first(label_text, labelled[label]).alias("text")).alias(name)

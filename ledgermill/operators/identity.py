@@ -16,6 +16,8 @@ from ledgermill.sources.registry import registry_entries
 NAME_PATTERN = r"(?U)^(.*?)(?:[_\s]+)?([A-Za-z]+)[_\s]?(\d{4})(?:\s.*)?$"
 SIMILARITY_THRESHOLD = 80
 
+_SEPARATOR = "\x1f"
+
 ERROR_FORMAT, ERROR_NO_MATCH, ERROR_MONTH = "filename_format", "no_matching_layout", "invalid_month"
 ERROR_NO_MAPPING = "no_mapping"
 
@@ -43,13 +45,15 @@ def split_names(files: DataFrame) -> DataFrame:
     """``path`` -> name part, month word and year; all empty when the format is wrong."""
     stem = text.stripped(text.without_extension(text.base_name(F.col("path"))))
     parts = files.withColumn("_stem", stem)
-    named = {
-        n: F.regexp_extract("_stem", NAME_PATTERN, i)
-        for i, n in enumerate(("name", "month_word", "year"), start=1)
-    }
-    return parts.withColumns(named).withColumn(
-        "name", text.stripped(F.regexp_replace("name", r"(?U)\s+", " "))
-    ).drop("_stem")
+    # one match per name: the three groups, put between separators
+    marked = F.regexp_replace("_stem", NAME_PATTERN, f"$1{_SEPARATOR}$2{_SEPARATOR}$3")
+    found = parts.withColumn("_found", F.split(marked, _SEPARATOR))
+
+    def part(i: int) -> Column:
+        return F.when(F.size("_found") == 3, F.get("_found", F.lit(i))).otherwise("")
+
+    name = text.stripped(F.regexp_replace(part(0), r"(?U)\s+", " "))
+    return found.withColumns({"name": name, "month_word": part(1), "year": part(2)}).drop("_stem", "_found")
 
 
 def match_names(names: DataFrame, registry: DataFrame, threshold: int = SIMILARITY_THRESHOLD) -> DataFrame:
@@ -94,11 +98,15 @@ def match_substring(files: DataFrame, registry: DataFrame) -> DataFrame:
         ).alias("entries")
     )
     bare = text.letters_and_digits(text.without_extension(text.base_name(F.col("path"))))
+    # the array of one evaluates the bare name once per file instead of once per layout
+    hits = F.transform(
+        F.array(bare),
+        lambda name: F.get(F.filter("entries", lambda e: F.contains(name, e["key"])), F.lit(0)),
+    )
     return (
-        files.withColumn("entries", entries.scalar()).withColumn("_bare", bare)
-        .withColumn("hit", F.get(F.filter("entries", lambda e: F.contains(F.col("_bare"), e["key"])), F.lit(0)))
+        files.withColumn("entries", entries.scalar()).withColumn("hit", F.get(hits, F.lit(0)))
         .withColumns({"layout": F.col("hit.layout"), "iso": F.col("hit.iso")})
-        .drop("entries", "_bare", "hit")
+        .drop("entries", "hit")
     )
 
 
@@ -116,7 +124,7 @@ def identify(
     if generic_by not in ("substring", "similarity"):
         raise ValueError("generic_by must be 'substring' or 'similarity'")
     parts = split_names(files)
-    matched = match_names(parts.filter("name <> ''"), registry, threshold)
+    matched = match_names(parts, registry, threshold)
     rows = parts.join(matched, "name", "left")
     month = text.month_number(F.col("month_word"))
     error = (
