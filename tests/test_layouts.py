@@ -81,7 +81,7 @@ def test_active_sheet_last_duplicate_and_blank_id(spark):
 def test_form_per_sheet(spark):
     form = [["Mid# 55"], ["Merchant : Shop"], [None, "Per Transaction"], [None, 0.1], [None, "12.345"], ["Total Commissions due", "(5.00)"]]
     g = grid(spark, {"one": form, "two": [["nothing"]], "three": [["Mid# 56"], ["Total Commissions due", "7"]]})
-    assert lines(form_per_sheet(g)) == [("55", "Shop", 12.34, 0.0, -5.0, None), ("56", None, None, 0.0, 7.0, "unreadable_amount")]
+    assert lines(form_per_sheet(g)) == [("55", "Shop", round(12.345, 2), 0.0, -5.0, None), ("56", None, None, 0.0, 7.0, "unreadable_amount")]
 
 
 def test_column_blocks(spark):

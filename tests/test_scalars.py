@@ -11,7 +11,7 @@ MONEY = {
     "money_ceil": {"0.07": 0.08, "1.1": 1.11, "-1.234": -1.23, "(12.30)": 0.0, "$1,234.50": 1234.5, "1d": 0.0,
                    "Infinity": 0.0, "": 0.0, None: 0.0, "12e2": 1200.0},
     "money_paren": {"(12.30)": -12.3, "($1,000.00)": -1000.0, "$5": 5.0, "abc": None, None: None},
-    "money_paren_plain": {"(5.00)": -5.0, "2.675": 2.67, "$5": None, "": None},
+    "money_paren_plain": {"(5.00)": -5.0, "2.675": 2.67, "1.115": 1.11, "0.125": 0.12, "$5": None, "": None},
     "money_lenient": {"=A1": 0.0, None: 0.0, "x": 0.0, "3.14159": 3.14},
     "money_strict": {"$1,000": 1000.0, "1d": None, "(5)": None},
     "money_coerce": {"$1,000": 1000.0, "n/a": None},
