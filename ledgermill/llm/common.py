@@ -74,7 +74,7 @@ def number_rows(df: DataFrame, group: str, order: list[Column], name: str, rows_
     ``group`` must not be null.
     """
     total = df.count() if total is None else total
-    chunks = max(1, -(-total // rows_per_chunk))
+    chunks = max(1, -(-total // rows_per_chunk), min(64, -(-total // 500)))  # few rows are spread, too
     keyed = df.withColumn("_chunk", F.coalesce(F.conv(F.substring(F.md5(order[0].cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % chunks, F.lit(0)))
     counts = keyed.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

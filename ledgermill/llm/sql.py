@@ -25,7 +25,7 @@ FROM v JOIN roots ON roots.a = v.vec_id LEFT JOIN counts ON counts.a = v.vec_id
 # Rows of a source in order of (chunk, id); earliest deadline first over one period of 1,000 slots; blocks of 32 rows.
 MIXED = """
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % greatest(1, (SELECT (count(*) + 49999) // 50000 FROM documents)) AS chunk
+  SELECT doc_id, source, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % (SELECT greatest(1, (count(*) + 49999) // 50000, least(64, (count(*) + 499) // 500)) FROM documents) AS chunk
   FROM documents),
 s AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) AS k FROM documents GROUP BY source),
 e AS (SELECT *, sqrt(n) / (SELECT sum(sqrt(n)) FROM s) * (1000 - (SELECT count(*) FROM s)) AS exact FROM s),
