@@ -155,7 +155,9 @@ def place(
     counts = placed.groupBy(*block, "shard").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("shard").orderBy("old_shard", F.desc("_class"), "_bucket", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*block, "shard", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    placed = placed.join(offsets, [*block, "shard"]).withColumn("slot", (F.col("_offset") + F.col("_own")).cast("long"))
+    # one row a block (a few shards each): the join keeps the rows where the windows have put them
+    offsets = offsets.groupBy(*block).agg(F.map_from_entries(F.collect_list(F.struct("shard", "_offset"))).alias("_offset"))
+    placed = placed.join(offsets, block).withColumn("slot", (F.col("_offset")[F.col("shard")] + F.col("_own")).cast("long"))
     return placed.withColumn("moved", F.col("shard") != F.col("old_shard")).drop("_from", "_upto", "_nth", "_middle", "_own", "_offset", "_hash")
 
 
