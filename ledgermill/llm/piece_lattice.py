@@ -275,12 +275,14 @@ class Coder:
             best = [0.0]
             for end in range(begin + 1, stop + 1):
                 row = edges[end].tolist()
-                found = (float("-inf"), -1, 1) if row[0] >= 0 else (best[-1] + self.penalty, -1, 1)
-                for size in range(1, min(end - begin, self.longest) + 1):
+                found = (float("-inf"), -1, 1)  # of equal sums the earliest start wins
+                for size in range(min(end - begin, self.longest), 0, -1):
                     if row[size - 1] >= 0:
                         score = best[end - size - begin] + self.v.scores[row[size - 1]]
                         if score > found[0]:
                             found = (score, row[size - 1], size)
+                if row[0] < 0 and best[-1] + self.penalty > found[0]:
+                    found = (best[-1] + self.penalty, -1, 1)
                 best.append(found[0])
                 last[end], back[end] = found[1:]
         return last, back
