@@ -83,22 +83,29 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
     return float(beta[0] / scale), float(beta[1])
 
 
-def fit(labelled: DataFrame, id_column: str = "doc_id", text: str = "text", quality: str = "quality", class_bytes: int = 8 << 20, size: int = 32 << 10, level: int = 3) -> Model:
-    """Fit on whole labelled texts that a hash of the id picks: about ``class_bytes`` of each class (the bound of what reaches the driver).
+def fit(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", quality: str = "quality",
+    class_bytes: int = 8 << 20, class_rows: int = 20_000, size: int = 32 << 10, level: int = 3,
+) -> Model:
+    """Fit on whole labelled texts that a hash of the id picks: of each class about ``class_bytes``, and no more than about
+    ``class_rows`` rows (the bound of what is broadcast and reaches the driver).
 
     Every fourth picked text (by hash) calibrates, the others build the dictionaries.
     """
-    rows = labelled.where(F.col(quality).isin(0, 1) & F.col(text).isNotNull())
-    sums = {r[0]: r[1] for r in rows.groupBy(quality).agg(F.sum(F.octet_length(text).cast("long"))).collect()}
+    known = labels.where(F.col(quality).isin(0, 1)).select(id_column, F.col(quality).cast("int").alias("q"))
+    there = docs.where(F.col(text).isNotNull())
+    lengths = there.select(id_column, (F.octet_length(text) + 1).cast("long").alias("b")).join(known, id_column)
+    sums = {r[0]: (r[1], r[2]) for r in lengths.groupBy("q").agg(F.sum("b"), F.count(F.lit(1))).collect()}
     turn = F.pmod(F.xxhash64(id_column), F.lit(1 << 20))
-    picked = None
-    for q, total in sums.items():
-        own = rows.where((F.col(quality) == q) & (turn < F.lit(int(min(1.0, class_bytes / max(1, total)) * (1 << 20)))))
-        picked = own if picked is None else picked.union(own)
+    share = {q: min(1.0, class_bytes / b, class_rows / n) for q, (b, n) in sums.items()}
+    limit = F.coalesce(*[F.when(F.col("q") == q, F.lit(int(s * (1 << 20)))) for q, s in share.items()], F.lit(0))
+    picked = there.join(F.broadcast(known.where(turn < limit)), id_column)  # about class_rows ids a class; texts stay where they are
     if len(sums) < 2:
         share = 0.5 if not sums else float(next(iter(sums)))
         return Model((b"", b""), 0.0, math.log(max(share, 1e-3) / max(1 - share, 1e-3)), level)
-    got = picked.select(F.col(quality).cast("int").alias("q"), F.encode(text, "UTF-8").alias("t"), (F.pmod(F.xxhash64(id_column, F.lit(1)), F.lit(4)) == 0).alias("c"), turn.alias("u")).orderBy("q", "u", "t").collect()
+    calibrates = F.pmod(F.xxhash64(id_column, F.lit(1)), F.lit(4)) == 0
+    got = picked.select("q", F.encode(text, "UTF-8").alias("t"), calibrates.alias("c"), turn.alias("u")).collect()
+    got.sort(key=lambda r: (r["q"], r["u"], bytes(r["t"])))
     parts = tuple([bytes(r["t"]) for r in got if r["q"] == q and not r["c"]] or [bytes(r["t"]) for r in got if r["q"] == q] for q in (0, 1))
     dictionaries = tuple(dictionary(p, size) for p in parts)
     scorer = Scorer(dictionaries, level)
@@ -130,6 +137,6 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column, **how) -> DataFrame:
     """(doc_id, held_out, score, predicted); only rows that are not ``held_out`` teach."""
     taught = labels.select("doc_id", "quality").where(~held_out).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    model = fit(docs.select("doc_id", "text").join(taught, "doc_id"), **how)
+    model = fit(docs.select("doc_id", "text"), taught, **how)
     out = score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
