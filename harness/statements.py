@@ -297,8 +297,12 @@ def payout_period(rows: DataFrame) -> DataFrame:
     names = ["Partner ID", "Referred Merchant Company Name", " Gross Processing Volume",
              "Total Payout (less delivery)", "Commission Payout Date"]
     day = (
-        F.when(pos() % 6 == 1, F.date_format(F.add_months("date", 1), "yyyy-MM-dd")).when(pos() % 6 == 2, "soon")
+        F.when(pos() % 6 == 1, F.date_format(F.add_months("date", 1), "yyyy-MM-dd"))
         .when(pos() % 6 == 3, F.date_format(F.date_add("date", 9), "M/d/yyyy"))
+        .when(pos() % 24 == 2, F.date_format(F.date_add("date", 9), "yyyy/MM/dd")).when(pos() % 24 == 8, F.date_format(F.date_add("date", 20), "yyyyMMdd"))
+        .when(pos() % 24 == 14, F.date_format("date", "d MMM yyyy")).when(pos() % 24 == 20, F.date_format("date", "MMMM d, yyyy"))
+        .when(pos() % 12 == 5, F.concat(F.date_format("date", "MM/dd/yyyy"), F.lit(" 12:00:00 AM"))).when(pos() % 12 == 4, F.date_format("date", "M/d/yy"))
+        .when(pos() % 12 == 10, F.date_format("date", "d-MMM-yyyy"))
         .otherwise(F.concat(F.date_format(F.date_add("date", 5), "yyyy-MM-dd"), F.lit(" 00:00:00")))
     )
     return tabular(

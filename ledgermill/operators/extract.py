@@ -24,13 +24,19 @@ SLOTS = ("mid", "dba", *AMOUNTS, "other")
 LINE_COLUMNS = ("path", "sheet_idx", "row_idx", "iso", "date", "mid", "dba", *AMOUNTS, "reject")
 
 # Date notations accepted in the payout date column.
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "M/d/yy", "d-MMM-yyyy", "MMM d, yyyy")
+DATE_FORMATS = (
+    "yyyy-M-d", "yyyy/M/d", "yyyyMMdd", "M/d/yyyy", "M/d/yy", "M-d-yyyy", "d-MMM-yyyy", "d-MMM-yy", "d MMM yyyy", "d MMMM yyyy",
+    "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
+)
+# A time of day behind a date.
+_TIME = r"[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp]\.?[Mm]\.?)?(?:Z|[+-]\d{2}:?\d{2})?$"
 
 REJECT_COLUMNS = "missing_columns"
 REJECT_DUPLICATE = "duplicate_column"
 REJECT_AMOUNT = "unreadable_amount"
 REJECT_MID = "no_merchant_id"
 REJECT_PERIOD = "no_period_in_name"
+REJECT_DATE = "unreadable_date"
 
 
 def _case(specs: Iterable[Layout], pick: Callable[[Layout], object], build: Callable[[object], Column]) -> Column:
@@ -185,10 +191,11 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
             "problem", F.when((F.col("family") == "payout_period") & month.isNull(), REJECT_PERIOD)
             .otherwise(F.col("problem")),
         )
-        day = F.coalesce(*[
-            F.try_to_date(F.substring(F.col("other")["value"], 1, 10) if f == "yyyy-MM-dd" else F.col("other")["value"], f)
-            for f in DATE_FORMATS
-        ])
+        day_text = F.regexp_replace(F.trim(F.col("other")["value"]), _TIME, "")
+        day = F.coalesce(*[_day(day_text, f) for f in DATE_FORMATS])
+        # a line whose filled date says nothing is refused rather than left out
+        lost = (F.col("family") == "payout_period") & (day_text != "") & day.isNull() & F.col("mid_text").isNotNull()
+        ids = ids.withColumn("problem", F.coalesce("problem", F.when(lost, REJECT_DATE)))
         ids = ids.filter(
             F.col("problem").isNotNull() | (F.col("family") != "payout_period")
             | (F.trunc(day, "month") == month)
@@ -241,6 +248,13 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
     )
 
 
+def _day(value: Column, notation: str) -> Column:
+    """A date; two-digit years from 69 on belong to the last century."""
+    day = F.try_to_date(value, notation)
+    short = notation.endswith("yy") and not notation.endswith("yyyy")
+    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day) if short else day
+
+
 def _grouped(lines: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """One line per statement and key: first name by row order, exact sums, nothing counts as 0.
     Keys with a NULL part are dropped; rejected lines pass through ungrouped."""

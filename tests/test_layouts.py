@@ -66,8 +66,11 @@ def test_first_valid_sheet_stops_at_first(spark):
 def test_payout_period(spark):
     head = ["Partner ID", "Referred Merchant Company Name", "Gross Processing Volume", "Total Payout (less delivery)", "Commission Payout Date"]
     g = grid(spark, {"CSV": [["t"], head, ["9", "A", "$1,000.50", "5", "2024-05-03"], ["9", "B", "bad", "1.25", "5/31/2024"],
-                             ["9", "C", "1", "1", "2024-06-01"], ["8", "D", "1", "1", "soon"]]}, path="Some Co May 2024.csv")
-    assert lines(extract.read_layout(g, "payout_period")) == [("9", "A", 1000.5, 0.0, 6.25, None)]
+                             ["9", "C", "1", "1", "2024-06-01"], ["8", "D", "1", "1", "soon"], ["7", "E", "1", "1", None], [None, "Total", "1", "1", "all"]]}, path="Some Co May 2024.csv")
+    assert [(o[0], *o[2:]) for o in lines(extract.read_layout(g, "payout_period"))] == [("9", 1000.5, 0.0, 6.25, None), ("8", 1.0, 0.0, 1.0, "unreadable_date")]
+    days = ["05/31/2024 12:00:00 AM", "2024/05/31", "20240531", "31 May 2024", "May 30, 2024", "May 3, 2024 10:15", "2024-05-31T00:00:00Z", "3-May-24", "5-31-2024"]
+    g = grid(spark, {"CSV": [head, *[[str(k), "A", "1", "1", day] for k, day in enumerate(days)]]}, path="Some Co May 2024.csv")
+    assert [o[0] for o in lines(extract.read_layout(g, "payout_period")) if o[-1] is None] == [str(k) for k in range(len(days))]
     late = grid(spark, {"CSV": [head, ["9", "A", "1", "1", "2024-05-03"]]}, path="Some Co.csv")
     assert [o[-1] for o in lines(extract.read_layout(late, "payout_period"))] == ["no_period_in_name"]
 
