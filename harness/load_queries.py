@@ -17,12 +17,11 @@ from harness.views import Views
 from ledgermill.operators import changes, grids, identity, load
 from ledgermill.schemas import LEDGER_COLUMNS
 from ledgermill.sources import csv_cells, merchant_bulk, sinks, workbook_cells
+from ledgermill.sources.tables import TABLE_SCHEMAS, scan_tables
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 CLOCK = "2002-01-01 00:00:00"
-# Used only where the session names no shared folder, as in a local run.
-SHARED = f"/tmp/ledgermill-{uuid.uuid4().hex}"
 
 
 def register(name: str, make, sql: str | None) -> None:
@@ -33,25 +32,26 @@ def register(name: str, make, sql: str | None) -> None:
 
 # --- guards and merchant checks -------------------------------------------------------------
 def claims(v: Views) -> DataFrame:
-    """One statement per partner and order month, under the partner's name."""
+    """One statement per partner and order month, under the partner's name; months are moved on, so that
+    the ledger has only some of them."""
     orders = v.read("orders").join(v.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(
-        F.trunc("o_orderdate", "month").alias("date"),
+        F.add_months(F.trunc("o_orderdate", "month"), 40).alias("date"),
         F.concat(F.lit("NATION_"), (F.col("c_nationkey") % 13).cast("string")).alias("iso"),
     ).distinct().withColumn("path", F.concat_ws(" ", "iso", F.col("date").cast("string")))
 
 
-CLAIMS = """(SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, concat('NATION_', CAST(c_nationkey % 13 AS VARCHAR)) AS iso
+CLAIMS = """(SELECT DISTINCT CAST(date_trunc('month', o_orderdate) + INTERVAL 40 MONTH AS DATE) AS date, concat('NATION_', CAST(c_nationkey % 13 AS VARCHAR)) AS iso
   FROM orders JOIN customer ON o_custkey = c_custkey) s"""
 for _match, _on in (("exact", "r.iso = s.iso"), ("prefix", "starts_with(r.iso, s.iso)")):
     register(f"load_already_loaded_{_match}",
-             lambda v, m=_match: load.already_loaded(claims(v), v.revenue.filter("house_residual < 0"), m).select("path", "date", "iso"),
+             lambda v, m=_match: load.already_loaded(claims(v), v.revenue, m).select("path", "date", "iso"),
              f"""SELECT concat(iso, ' ', CAST(date AS VARCHAR)) AS path, date, iso FROM {CLAIMS}
-WHERE EXISTS (SELECT 1 FROM revenue r WHERE r.house_residual < 0 AND r.date = s.date AND {_on})""")
+WHERE EXISTS (SELECT 1 FROM revenue r WHERE r.date = s.date AND {_on})""")
     register(f"load_not_loaded_{_match}",
-             lambda v, m=_match: load.not_loaded(claims(v), v.revenue.filter("house_residual < 0"), m).select("path", "date", "iso"),
+             lambda v, m=_match: load.not_loaded(claims(v), v.revenue, m).select("path", "date", "iso"),
              f"""SELECT concat(iso, ' ', CAST(date AS VARCHAR)) AS path, date, iso FROM {CLAIMS}
-WHERE NOT EXISTS (SELECT 1 FROM revenue r WHERE r.house_residual < 0 AND r.date = s.date AND {_on})""")
+WHERE NOT EXISTS (SELECT 1 FROM revenue r WHERE r.date = s.date AND {_on})""")
 
 
 def statement_lines(v: Views) -> DataFrame:
@@ -132,21 +132,10 @@ def mixed_grid(v: Views) -> DataFrame:
 
 
 def staging(v: Views):
-    return sinks.stage_in(v.spark, sinks.shared_folder(v.spark, SHARED))
-
-
-_LOADS: dict[tuple[str, str], load.LoadResult] = {}
+    return sinks.stage_in(v.spark, sinks.shared_folder(v.spark))
 
 
 def mixed_load(v: Views) -> load.LoadResult:
-    """The three outcomes of one load are three queries; the load itself runs once per session."""
-    key = (v.spark.sparkContext.applicationId, v.sf_dir)
-    if key not in _LOADS:
-        _LOADS[key] = _mixed_load(v)
-    return _LOADS[key]
-
-
-def _mixed_load(v: Views) -> load.LoadResult:
     stage = staging(v)
     grid = stage(mixed_grid(v), "fixture_grid")
     names = identity.identify(grid.select("path").distinct(), registry(v), RULES)
@@ -177,6 +166,23 @@ SELECT date, iso, mid, CASE WHEN nth = 1 THEN mdba ELSE dba END AS dba, CAST(vol
 FROM judged WHERE verdict IS NULL""")
 register("load_statements_rejected_lines", lambda v: mixed_load(v).lines.select("path", "sheet_idx", "row_idx", "mid", "reject"),
          f"WITH {MIXED} SELECT path, sheet_idx, row_idx, mid, verdict AS reject FROM judged WHERE verdict IS NOT NULL")
+
+
+def load_again(v: Views) -> DataFrame:
+    """Every statement a second time, against the ledger that the first load has written."""
+    first = mixed_load(v)
+    folder = f"{sinks.shared_folder(v.spark)}/again-{uuid.uuid4().hex}"
+    sinks.append_ledger(v.revenue.filter(F.col("date") < F.lit(LOADED_BEFORE).cast("date")), folder)
+    sinks.append_ledger(first.rows, folder)
+    stage = staging(v)
+    grid = stage(mixed_grid(v), "fixture_grid")
+    names = identity.identify(grid.select("path").distinct(), registry(v), RULES)
+    tables = type(v.tables)(**{**v.tables.__dict__, "revenue": sinks.read_ledger(v.spark, folder)})
+    second = load.load_statements(grid, names, registry(v), tables, "loader", CLOCK, stage=stage)
+    return second.rows.select(*LEDGER_COLUMNS[:13], "updated_by")
+
+
+register("load_statements_again", load_again, f"SELECT {', '.join(LEDGER_COLUMNS[:13])}, 'loader' AS updated_by FROM revenue WHERE FALSE")
 register("load_statements_rejected", lambda v: mixed_load(v).statements, f"""WITH {MIXED}
 SELECT DISTINCT path, 'statement_rejected' AS reason FROM judged WHERE verdict IS NOT NULL
 UNION SELECT DISTINCT path, 'already_loaded' FROM (SELECT CASE WHEN (id - 1) % {len(FAMILIES)} = {FAMILIES.index('payout_period')} THEN full_path ELSE path END AS path
@@ -341,7 +347,17 @@ register("chg_iso_month_delete_refused", lambda v: changes.iso_month_delete(v.re
          f"SELECT date, iso, 'not_found' AS reason FROM {MONTH_KEYS} WHERE NOT EXISTS (SELECT 1 FROM revenue r WHERE k.date = r.date AND k.iso = r.iso)")
 
 # --- sources and sinks ----------------------------------------------------------------------
-register("src_tables", lambda v: v.revenue, f"SELECT {LEDGER} FROM revenue")
+def stored_tables(v: Views) -> DataFrame:
+    """All tables written to the shared folder, the ledger read back by the table source."""
+    folder = f"{sinks.shared_folder(v.spark)}/tables-{uuid.uuid4().hex}"
+    sinks.append_ledger(v.revenue, f"{folder}/revenue")
+    for name in TABLE_SCHEMAS:
+        if name != "revenue":
+            getattr(v, name).write.parquet(f"{folder}/{name}")
+    return scan_tables(v.spark, folder).revenue
+
+
+register("src_tables", stored_tables, f"SELECT {LEDGER} FROM revenue")
 
 
 def csv_files(v: Views) -> DataFrame:
@@ -418,7 +434,7 @@ FROM customer CROSS JOIN (VALUES (0, 0, 0, 'Residual report', 's'), (0, 0, 2, 'R
 
 def written_ledger(v: Views) -> DataFrame:
     """The ledger written in two appends to the cluster's shared folder, read back."""
-    folder = f"{sinks.shared_folder(v.spark, SHARED)}/ledger-{uuid.uuid4().hex}"
+    folder = f"{sinks.shared_folder(v.spark)}/ledger-{uuid.uuid4().hex}"
     old = F.col("date") < F.lit("1998-01-01").cast("date")
     sinks.append_ledger(v.revenue.filter(old), folder)
     sinks.append_ledger(v.revenue.filter(~old), folder)
@@ -428,6 +444,24 @@ def written_ledger(v: Views) -> DataFrame:
 register("snk_ledger_append", written_ledger, f"SELECT {LEDGER} FROM revenue")
 
 
+def months_deleted(v: Views) -> tuple[str, str, DataFrame]:
+    """The stored ledger after partner-months, and one whole month, were deleted from it."""
+    folder = f"{sinks.shared_folder(v.spark)}/deleted-{uuid.uuid4().hex}"
+    sinks.append_ledger(v.revenue, f"{folder}/revenue")
+    whole = v.iso.select(F.lit("1996-01-01").cast("date").alias("date"), "iso")
+    keys = month_keys(v).filter("date <> DATE '1996-01-01'").unionByName(whole)
+    refused = sinks.delete_partner_months(v.spark, keys, f"{folder}/revenue", f"{folder}/audit", "auditor")
+    return f"{folder}/revenue", f"{folder}/audit", refused
+
+
+STORED_KEYS = """(SELECT DISTINCT a.date, i.iso FROM adjustments a JOIN iso i ON i.id = a.iso_id WHERE a.date <> DATE '1996-01-01'
+  UNION SELECT DATE '1996-01-01', iso FROM iso) k"""
+register("snk_ledger_delete", lambda v: sinks.read_ledger(v.spark, months_deleted(v)[0]),
+         f"SELECT {LEDGER} FROM revenue r WHERE NOT EXISTS (SELECT 1 FROM {STORED_KEYS} WHERE k.date = r.date AND k.iso = r.iso)")
+register("snk_ledger_delete_audit", lambda v: v.spark.read.parquet(months_deleted(v)[1]),
+         f"SELECT date, iso, 'auditor' AS deleted_by FROM {STORED_KEYS} WHERE EXISTS (SELECT 1 FROM revenue r WHERE k.date = r.date AND k.iso = r.iso)")
+
+
 def bulk_rows(v: Views) -> DataFrame:
     """Text rows of a merchant file: known and new ids, each new one twice, with empty fields."""
     k = F.col("c_custkey")

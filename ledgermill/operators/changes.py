@@ -17,7 +17,7 @@ from ledgermill.schemas import AGENT_COLUMNS, AMOUNTS, REFERRAL_TYPES
 
 AGENT_FIELDS = ("agent1_name", "agent1_split", "agent2_name", "agent2_split")
 NOT_FOUND, MISSING, INVALID, EXISTS = "not_found", "missing_fields", "invalid_referral_type", "already_exists"
-IDS_PER_BUCKET = 1 << 20
+RANGES = 256
 
 
 @dataclass(frozen=True)
@@ -51,14 +51,19 @@ def _filled(value: str) -> Column:
 def number_rows(rows: DataFrame, start: DataFrame, column: str) -> DataFrame:
     """Consecutive ids in ``seq`` order after the one value of ``start``.
 
-    Rows are numbered inside ranges of ``seq`` that hold a bounded number of values, and each
-    range starts after the counts of the ranges before it; no task sees all rows.
+    Rows are numbered inside ranges of ``seq`` with about equal numbers of rows, whatever its
+    values, and each range starts after the counts of the ranges before it; no task sees all rows.
     """
-    bucketed = rows.withColumn("_bucket", F.floor(F.col("seq") / IDS_PER_BUCKET))
+    # quantiles of seq: RANGES - 1 numbers
+    cuts = sorted(set(rows.approxQuantile("seq", [k / RANGES for k in range(1, RANGES)], 1 / (4 * RANGES))))
+    edges = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+    bucketed = rows.withColumn("_bucket", F.size(F.filter(edges, lambda c: c <= F.col("seq"))))
     counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # one row per range of a million changes
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    every = counts.agg(F.collect_list(F.struct("_bucket", "_n")).alias("_all")).select(F.explode("_all").alias("_one"), "_all")
+    earlier = F.aggregate(
+        F.filter("_all", lambda x: x["_bucket"] < F.col("_one._bucket")), F.lit(0).cast("bigint"), lambda n, x: n + x["_n"]
+    )
+    offsets = every.select("_one._bucket", earlier.alias("_offset"))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("seq"))
     return (
         bucketed.withColumn("_nth", inside).join(offsets, "_bucket")

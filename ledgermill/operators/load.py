@@ -9,7 +9,7 @@ very many lines is thereby combined map-side before the merchants are touched.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -17,13 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.operators import column_blocks, extract, form_sheets
-from ledgermill.operators.layout_specs import layouts
+from ledgermill.operators.layout_specs import SHEET_CANDIDATES, SHEET_LABELS, layouts
 from ledgermill.schemas import AMOUNTS, LEDGER_COLUMNS, MONEY, PERCENT
 from ledgermill.sources import sinks
 from ledgermill.sources.tables import LedgerTables
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
+# An amount with fractions of a cent.
+EXACT = "decimal(26,8)"
+
 # Fixed value: merchant id of a lump-sum line.
 MANUAL_MID = "111123456"
 
@@ -57,15 +60,40 @@ def _claims(rows: DataFrame, match: str, *aggregates: Column) -> DataFrame:
     return claimed.groupBy("date", "iso").agg(*aggregates) if aggregates else claimed.distinct()
 
 
+def _of_months(ledger: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ledger's partners in the months of ``rows``; the range of months reaches the scan as a
+    partition filter."""
+    months = rows.select("date").distinct()
+    ends = [rows.agg(f("date")).scalar() for f in (F.min, F.max)]
+    own = ledger.select("date", "iso").filter(F.col("date").between(*ends))
+    return own.join(months, "date", "left_semi").distinct()
+
+
+def _names(statements: DataFrame, sheets: Iterable[str] | None = None) -> DataFrame:
+    """The names under which a statement's lines may be in the ledger: its partner's, and for layouts
+    that add the sheet's label to it, each of those. ``sheets`` are the sheets that such layouts read."""
+    if "family" not in statements.columns:
+        return statements.select("path", "date", "iso")
+    labels = sorted({SHEET_LABELS.get(s, s) for s in (sheets or SHEET_CANDIDATES)})
+    own = F.array("iso")
+    labelled = F.concat(own, *[F.array(F.concat_ws(" ", "iso", F.lit(x))) for x in labels])
+    return statements.select("path", "date", F.explode(F.when(F.col("family") == "multi_sheet", labelled).otherwise(own)).alias("iso"))
+
+
+def flag_loaded(statements: DataFrame, ledger: DataFrame, match: str = "exact", sheets: Iterable[str] | None = None) -> DataFrame:
+    """Statements with ``is_loaded``: whether their partner and month are in the ledger."""
+    claims = _claims(_of_months(ledger, statements), match)
+    found = _names(statements, sheets).join(claims, ["date", "iso"], "left_semi").select("path").distinct()
+    return statements.join(found.withColumn("is_loaded", F.lit(True)), "path", "left").withColumn("is_loaded", F.coalesce("is_loaded", F.lit(False)))
+
+
 def already_loaded(statements: DataFrame, ledger: DataFrame, match: str = "exact") -> DataFrame:
     """Statements whose partner and month are in the ledger."""
-    keys = ledger.select("date", "iso").distinct()
-    return statements.join(_claims(keys, match), ["date", "iso"], "left_semi")
+    return flag_loaded(statements, ledger, match).filter("is_loaded").select(*statements.columns)
 
 
 def not_loaded(statements: DataFrame, ledger: DataFrame, match: str = "exact") -> DataFrame:
-    keys = ledger.select("date", "iso").distinct()
-    return statements.join(_claims(keys, match), ["date", "iso"], "left_anti")
+    return flag_loaded(statements, ledger, match).filter("NOT is_loaded").select(*statements.columns)
 
 
 # --- L3 to L5: merchants --------------------------------------------------------------------
@@ -121,7 +149,7 @@ def payout_columns(house: Column) -> dict[str, Column]:
 def agent_payouts(lines: DataFrame, merchants: DataFrame) -> DataFrame:
     """Lines with the six agent columns."""
     joined = lines.join(merchants.select("mid", *MERCHANT_FIELDS), "mid", "left")
-    payouts = payout_columns(F.col("house_residual").try_cast(MONEY))
+    payouts = payout_columns(F.col("house_residual").try_cast(EXACT))
     return joined.select(*lines.columns, *[c.alias(n) for n, c in payouts.items()])
 
 
@@ -132,7 +160,9 @@ def check_lines(lines: DataFrame, merchants: DataFrame, dba_mode: str = "first_l
 
     A line of a statement in which any line fails is rejected too, as ``statement_rejected``.
     """
-    typed = lines.withColumns({a: F.col(a).try_cast(MONEY) for a in AMOUNTS}).withColumn(
+    # shares are taken from the amount as it was read and rounded once
+    typed = lines.withColumn("_house", F.col("house_residual").try_cast(EXACT))
+    typed = typed.withColumns({a: F.col(a).try_cast(MONEY) for a in AMOUNTS}).withColumn(
         "reject",
         F.coalesce("reject", F.when(
             F.col("volume").isNull() | F.col("total_residual").isNull() | F.col("house_residual").isNull(),
@@ -157,7 +187,7 @@ def check_lines(lines: DataFrame, merchants: DataFrame, dba_mode: str = "first_l
     reject = F.coalesce("reject", "_reason", F.when(F.col("_fails"), STATEMENT_REJECTED))
     return joined.select(
         *[c for c in lines.columns if c not in ("dba", "reject")], _name(dba_mode).alias("dba"),
-        *[c.alias(n) for n, c in payout_columns(F.col("house_residual")).items()],
+        *[c.alias(n) for n, c in payout_columns(F.col("_house")).items()],
         reject.alias("reject"),
     )
 
@@ -203,21 +233,25 @@ def load_statements(
         stage = sinks.stage_in(spark, sinks.shared_folder(spark))
     statements = stage(statements, "statements")
     usable = statements.filter("error IS NULL")
-    loaded = already_loaded(usable, tables.revenue, match).select("path", F.lit(ALREADY_LOADED).alias("reason"))
     broken = grid.filter("sheet_idx < 0").select("path").distinct()
     unread = usable.join(broken, "path", "left_semi").select("path", F.lit(UNREADABLE).alias("reason"))
-    loaded = loaded.join(broken, "path", "left_anti")
-    fresh = not_loaded(usable, tables.revenue, match).join(broken, "path", "left_anti")
+    # one look at the ledger for those that are loaded and those that are not
+    flagged = stage(flag_loaded(usable.join(broken, "path", "left_anti"), tables.revenue, match, layout_options.get("sheet_candidates")), "flagged")
+    loaded = flagged.filter("is_loaded").select("path", F.lit(ALREADY_LOADED).alias("reason"))
+    fresh = flagged.filter("NOT is_loaded").drop("is_loaded")
     rows = grid.join(fresh.select("path", "iso", "date", "layout", "family"), "path")
     lines = stage(extract_all(stage(rows, "grid"), registry, **layout_options), "lines")
     checked = stage(check_lines(lines, tables.merchants, dba_mode), "checked")
 
     # Of several good statements for one partner and month the first path is taken.
+    # A statement stands for its partner's name as well as for the names on its lines.
     sound = checked.filter("reject IS NULL").select("path", "date", "iso").distinct()
-    claims = _claims(sound, match, F.min("path").alias("_winner"))
+    own = fresh.join(sound.select("path").distinct(), "path", "left_semi").select("path", "date", "iso")
+    names = sound.union(own).distinct()
+    claims = _claims(names, match, F.min("path").alias("_winner"))
     late = (
-        fresh.join(sound.select("path").distinct(), "path").join(claims, ["date", "iso"])
-        .filter(F.col("_winner") < F.col("path")).select("path", F.lit(DUPLICATE).alias("reason"))
+        names.join(claims, ["date", "iso"])
+        .filter(F.col("_winner") < F.col("path")).select("path").distinct().withColumn("reason", F.lit(DUPLICATE))
     )
     per_path = checked.groupBy("path").agg(F.max("reject").alias("_reject"))
     judged = fresh.select("path").join(per_path.withColumn("_seen", F.lit(True)), "path", "left").select(
@@ -249,7 +283,7 @@ def manual_revenue(
     whole = F.col("date").isNotNull() & (F.coalesce("iso", F.lit("")) != "") & F.col("amount").isNotNull()
     good = entries.filter(whole)
     earlier = _claims(good.select("date", "iso", "seq"), match, F.min("seq").alias("_first"))
-    loaded = _claims(ledger.select("date", "iso").distinct(), match).withColumn("_loaded", F.lit(True))
+    loaded = _claims(_of_months(ledger, good), match).withColumn("_loaded", F.lit(True))
     judged = good.join(earlier, ["date", "iso"], "left").join(loaded, ["date", "iso"], "left").withColumn(
         "reason",
         F.when(F.col("_loaded"), ALREADY_LOADED).when(F.col("_first") < F.col("seq"), DUPLICATE),

@@ -13,6 +13,8 @@ GRID_SCHEMA = (
 )
 GRID_COLUMNS = ("path", "sheet_idx", "sheet", "is_active", "row_idx", "cells")
 SHEET_KEYS = ("path", "sheet_idx")
+# Sheet number of the one row that stands for a file that cannot be read; its sheet names the reason.
+UNREADABLE_SHEET = -1
 
 # What is known about a statement before its cells are read.
 IDENTITY_COLUMNS = ("iso", "date", "layout")

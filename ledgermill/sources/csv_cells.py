@@ -1,8 +1,11 @@
 """CSV statements to grid rows.
 
-A statement is read as a whole file, because header rows are found by row number; many files
-give the parallelism. Record and field splitting are column expressions, so nothing leaves the
-JVM. Files too large to be one value are split into records by ``large_csv``.
+One parser for files of any size. Lines are numbered inside splits; ``csv_lines`` finds out which
+of them start inside a quoted field and glues records together. Field splitting is a
+column expression, so nothing leaves the JVM.
+
+A file that is no UTF-8, or whose last quoted field is never closed, yields a single row with
+``sheet_idx`` -1 and the reason in ``sheet``, so that the load refuses it by name.
 """
 
 from __future__ import annotations
@@ -10,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.functions.text import stripped
-from ledgermill.schemas import GRID_COLUMNS
+from ledgermill.schemas import GRID_COLUMNS, UNREADABLE_SHEET
 
-# Files above this size are read by line instead of as one value.
-WHOLE_FILE_BYTES = 128 * 1024 * 1024
+# File names by extension, whatever its case.
+CSV_NAMES = "*.[cC][sS][vV]"
+XLSX_NAMES = "*.[xX][lL][sS][xX]"
+STATEMENT_NAMES = "*.{[cC][sS][vV],[xX][lL][sS][xX]}"
 
 # Texts that stand for an empty cell.
 EMPTY_TEXTS = (
@@ -26,15 +30,6 @@ EMPTY_TEXTS = (
 # matcher iterative on fields of any length.
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+(?:"|\z)[^,\r\n]*+'
 _FIELD = rf'(?:{_QUOTED}|[^",\r\n][^,\r\n]*+|)'
-_RECORD = rf"({_FIELD}(?:,{_FIELD})*+)(?:\r\n|\n|\r|\z)"
-
-
-def records(content: Column) -> Column:
-    """Texts of the non-blank records of a file."""
-    found = F.regexp_extract_all(content, F.lit(_RECORD), F.lit(1))
-    return F.filter(found, lambda r: stripped(r) != "")
-
-
 def _unquoted(field: Column) -> Column:
     shape = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"?+(.*)$'
     inner = F.replace(F.regexp_extract(field, shape, 1), F.lit('""'), F.lit('"'))
@@ -52,18 +47,24 @@ def fields(record: Column) -> Column:
     return F.filter(cells, lambda c: ~c["value"].isin(*EMPTY_TEXTS))
 
 
+def _grid(read: DataFrame) -> DataFrame:
+    """Grid rows of ``path, row_idx, record, problem``."""
+    broken = F.col("problem").isNotNull()
+    no_cells = F.filter(fields(F.lit("")), lambda c: F.lit(False))
+    return read.select(
+        "path", F.when(broken, F.lit(UNREADABLE_SHEET)).otherwise(0).alias("sheet_idx"), F.coalesce("problem", F.lit("CSV")).alias("sheet"),
+        (~broken).alias("is_active"), F.col("row_idx").cast("bigint").alias("row_idx"),
+        F.when(broken, no_cells).otherwise(fields(F.col("record"))).alias("cells"),
+    ).select(*GRID_COLUMNS)
+
+
 def csv_grid(files: DataFrame) -> DataFrame:
-    """Grid rows of CSV files given as ``path`` and ``content`` bytes; other columns are kept.
+    """Grid rows of CSV files given as ``path`` and ``content`` bytes; other columns are kept."""
+    from ledgermill.sources.csv_lines import content_lines, records
 
-    Files that are no UTF-8 yield no row.
-    """
     carried = [c for c in files.columns if c not in ("path", "content")]
-    text = F.when(F.is_valid_utf8("content"), F.regexp_replace(F.col("content").cast("string"), "^﻿", ""))
-    rows = files.select("path", *carried, F.posexplode(records(text)).alias("row_idx", "record"))
-    return rows.select(
-        "path", F.lit(0).alias("sheet_idx"), F.lit("CSV").alias("sheet"), F.lit(True).alias("is_active"),
-        F.col("row_idx").cast("bigint").alias("row_idx"), fields(F.col("record")).alias("cells"), *carried,
-    ).select(*GRID_COLUMNS, *carried)
+    grid = _grid(records(content_lines(files)))
+    return grid.join(files.select("path", *carried), "path").select(*GRID_COLUMNS, *carried) if carried else grid
 
 
 def list_files(spark: SparkSession, location: str, names: str = "*") -> DataFrame:
@@ -73,11 +74,8 @@ def list_files(spark: SparkSession, location: str, names: str = "*") -> DataFram
     return reader.option("recursiveFileLookup", "true").load(location).select("path", "content", "length")
 
 
-def read_csv_grid(
-    spark: SparkSession, location: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """Grid rows of every CSV file below a folder or behind a glob, whatever its size."""
-    from ledgermill.sources.large_csv import read_large_csv_grid
+def read_csv_grid(spark: SparkSession, location: str | list[str]) -> DataFrame:
+    """Grid rows of every CSV file below a folder, behind a glob or in a list of files, whatever its size."""
+    from ledgermill.sources.csv_lines import read_lines, records
 
-    small = list_files(spark, location, "*.csv").filter(F.col("length") <= whole_file_bytes).drop("length")
-    return csv_grid(small).unionByName(read_large_csv_grid(spark, location, whole_file_bytes))
+    return _grid(records(read_lines(spark, location)))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,28 +13,48 @@ from ledgermill.schemas import LEDGER_COLUMNS, LEDGER_SCHEMA
 SALTS = 64
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
-    """The folder all executors see, from ``spark.checkpoint.dir``; ``default`` only where the
-    session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or default
-    if not folder:
+_LOCAL: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see, from ``spark.checkpoint.dir``. Only a session in which one
+    machine does everything may leave it unset; it gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir is not set")
-    return folder.rstrip("/")
+    if sc.applicationId not in _LOCAL:
+        _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="ledgermill-")
+    return _LOCAL[sc.applicationId]
+
+
+def _delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage_in(spark: SparkSession, folder: str) -> Callable[[DataFrame, str], DataFrame]:
-    """A ``stage`` function that writes intermediate tables below ``folder`` and reads them back,
-    so that later steps neither recompute them nor lose them with an executor."""
-    run = f"{folder}/stage-{uuid.uuid4().hex}"
+class StagedTables:
+    """Writes intermediate tables below a folder and reads them back, so that later steps neither
+    recompute them nor lose them with an executor. ``drop`` removes them once results are stored."""
 
-    def stage(df: DataFrame, name: str) -> DataFrame:
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.run = spark, f"{folder}/stage-{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
         writer = df.write.mode("error")
         if name == "grid":
             writer = writer.partitionBy("family")
-        writer.parquet(f"{run}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{run}/{name}").select(*df.columns)
+        writer.parquet(f"{self.run}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.run}/{name}").select(*df.columns)
+
+    def drop(self) -> None:
+        _delete_folder(self.spark, self.run)
+
 
-    return stage
+def stage_in(spark: SparkSession, folder: str) -> StagedTables:
+    return StagedTables(spark, folder)
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -57,16 +77,35 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 def rewrite_months(table: DataFrame, touched: DataFrame, path: str) -> None:
     """Replace the partitions of the months in ``touched`` by their rows in ``table``.
 
-    Other months are left alone. A month that lost all its rows keeps its old files; write a new
-    version of the table with :func:`write_version` when a change set deletes.
+    Other months are left alone; the partition of a month that lost all its rows is removed.
     """
     months = touched.select("date").distinct()
     rows = table.join(months, "date", "left_semi").select(*LEDGER_COLUMNS)
+    # calendar months, asked for before their files change
+    emptied = [r["date"] for r in months.join(rows.select("date").distinct(), "date", "left_anti").collect() if r["date"]]
     _spread(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "date"
     ).parquet(path)
 
 
+    for month in emptied:
+        _delete_folder(table.sparkSession, f"{path.rstrip('/')}/date={month.isoformat()}")
+
+
+def delete_partner_months(spark: SparkSession, keys: DataFrame, path: str, audit_path: str, deleted_by: str) -> DataFrame:
+    """Delete the (date, iso) pairs in ``keys`` from the stored ledger and store the audit rows.
+
+    The audit is written first, so a job that breaks off and runs again finds what is left and
+    adds a second audit only for that. Returns the refused keys.
+    """
+    from ledgermill.operators.changes import iso_month_delete
+
+    done = iso_month_delete(read_ledger(spark, path), keys, deleted_by)
+    done.audit.write.mode("append").parquet(audit_path)
+    rewrite_months(done.table, keys, path)
+    return done.refused
+
+
 def write_version(table: DataFrame, root: str) -> str:
     """Write the whole table to a fresh folder below ``root`` and return it."""
     path = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"

@@ -10,20 +10,23 @@ import datetime as dt
 import io
 import posixpath
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.schemas import GRID_SCHEMA
-from ledgermill.sources.csv_cells import EMPTY_TEXTS, list_files
+from ledgermill.schemas import GRID_SCHEMA, UNREADABLE_SHEET
+from ledgermill.sources.csv_cells import EMPTY_TEXTS, XLSX_NAMES, list_files
+
+# Executors need no copy of the package: the worker function travels whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_BATCH = 5_000
-# Sheet number of the one row that stands for a file no workbook could be read from.
-UNREADABLE_SHEET = -1
 _BLANK = frozenset(EMPTY_TEXTS)
 
 # Number formats that show a date or a time.
@@ -164,9 +167,11 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if len(rows) >= ROWS_PER_BATCH:
                         yield pd.DataFrame(rows, columns=columns)
                         rows = []
-            except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, StopIteration, IndexError):
-                # marks the file, so that rows already handed on are not loaded
-                rows.append((path, UNREADABLE_SHEET, None, False, -1, []))
+            except MemoryError:
+                raise  # a failure of the task, not of the file
+            except Exception as error:  # whatever is wrong with a file concerns that file only
+                # marks it, so that rows already handed on are not loaded
+                rows.append((path, UNREADABLE_SHEET, f"{type(error).__name__}: {error}"[:200], False, -1, []))
     if rows:
         yield pd.DataFrame(rows, columns=columns)
 
@@ -177,4 +182,4 @@ def workbook_grid(files: DataFrame) -> DataFrame:
 
 
 def read_workbook_grid(spark: SparkSession, location: str) -> DataFrame:
-    return workbook_grid(list_files(spark, location, "*.xlsx").filter(F.col("length") > 0))
+    return workbook_grid(list_files(spark, location, XLSX_NAMES))

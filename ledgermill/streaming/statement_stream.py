@@ -18,12 +18,11 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content b
 
 
 def _grid(files: DataFrame) -> DataFrame:
-    """Grid rows of CSV and XLSX files in one table of ``path`` and ``content``."""
-    is_csv = F.lower("path").endswith(".csv")
-    pairs = files.select("path", "content")
-    return csv_cells.csv_grid(pairs.filter(is_csv)).unionByName(
-        workbook_cells.workbook_grid(pairs.filter(F.lower("path").endswith(".xlsx")))
-    )
+    """Grid rows of the CSV and XLSX files of a batch. CSV files are read in splits, as in
+    ``load_folder``; the batch only names them (``files_per_batch`` at most)."""
+    books = workbook_cells.workbook_grid(files.filter(F.lower("path").endswith(".xlsx")).select("path", "content"))
+    named = [r["path"] for r in files.filter(F.lower("path").endswith(".csv")).select("path").collect()]
+    return csv_cells.read_csv_grid(files.sparkSession, named).unionByName(books) if named else books
 
 
 def load_folder(
@@ -32,7 +31,7 @@ def load_folder(
     stage: Stage | None = None, **options,
 ) -> LoadResult:
     """Load every CSV and XLSX statement below ``folder``. Nothing is written to the ledger yet."""
-    files = csv_cells.list_files(spark, folder, "*.{csv,xlsx}")
+    files = csv_cells.list_files(spark, folder, csv_cells.STATEMENT_NAMES)
     names = identity.identify(files.select("path"), registry, rules)
     grid = csv_cells.read_csv_grid(spark, folder).unionByName(
         workbook_cells.read_workbook_grid(spark, folder)
@@ -48,20 +47,24 @@ def load_stream(
     """Append statements to the ledger as files arrive.
 
     A batch that is run again after a failure finds its statements already loaded, so the guard
-    on partner and month makes the append idempotent; refused statements are written per batch
-    and overwritten by a rerun. Months may arrive in any order. The caller sets the checkpoint
+    on partner and month makes the append idempotent; refused statements and lines are written per
+    batch, and overwritten by a rerun. Months may arrive in any order. The caller sets the checkpoint
     location and the trigger, and starts the returned writer.
     """
     rule_list = list(rules)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         names = identity.identify(batch.select("path"), registry, rule_list)
+        spark = batch.sparkSession
+        stage = sinks.stage_in(spark, sinks.shared_folder(spark))
         result = load_statements(
-            _grid(batch), names, registry, tables(), updated_by, clock(), **options
+            _grid(batch), names, registry, tables(), updated_by, clock(), stage=stage, **options
         )
         # rejects first: they are computed against the ledger as it was before this batch
         result.statements.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        result.lines.write.mode("overwrite").parquet(f"{rejects_path}-lines/batch={batch_id}")
         sinks.append_ledger(result.rows, ledger_path)
+        stage.drop()
 
     files = (
         spark.readStream.format("binaryFile").schema(FILE_SCHEMA)

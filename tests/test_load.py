@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgermill import schemas as S
 from ledgermill.operators import changes, identity, load
 from ledgermill.plans import reports
-from ledgermill.sources import csv_cells, large_csv, merchant_bulk, sinks, workbook_cells
+from ledgermill.sources import csv_cells, merchant_bulk, sinks, workbook_cells
 from ledgermill.sources.registry import parse_registry
 from ledgermill.sources.tables import LedgerTables
 from ledgermill.streaming.statement_stream import load_folder, load_stream
@@ -105,10 +105,13 @@ def test_hot_merchant_first_line_only(spark):
 
 
 def test_number_rows_across_ranges(spark, monkeypatch):
-    monkeypatch.setattr(changes, "IDS_PER_BUCKET", 7)
-    rows = spark.range(100).select((F.col("id") * 3).alias("seq"))
-    out = changes.number_rows(rows, spark.range(6).agg(F.max("id")), "id").orderBy("seq").collect()
-    assert [r.id for r in out] == list(range(6, 106))
+    monkeypatch.setattr(changes, "RANGES", 7)
+    for step in (F.col("id") * 3, F.col("id") * F.col("id") * 1_700_000_000_000, F.lit(5) + F.col("id") % 2 * 1_000_000_000_000 + F.col("id")):
+        rows = spark.range(100).select(step.alias("seq"))
+        df = changes.number_rows(rows, spark.range(6).agg(F.max("id")), "id")
+        assert [r.id for r in df.orderBy("seq").collect()] == list(range(6, 106))
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert all("_bucket" in line.split("windowspecdefinition")[1] for line in text.splitlines() if "windowspecdefinition" in line)
 
 
 def test_changes_twice_equal_once(spark):
@@ -121,41 +124,62 @@ def test_changes_twice_equal_once(spark):
     assert once.refused.count() == 1
 
 
-CSV = 'a,"x ""q"", 1",NA\r\n\n  \n"multi\nline",5" pipe,"t"\n,,\n"",z,"open\nend'
-CELLS = [(0, 0, "a"), (0, 1, 'x "q", 1'), (1, 0, "multi\nline"), (1, 1, '5" pipe'), (1, 2, "t"), (3, 1, "z"), (3, 2, "open\nend")]
+CSV = '\ufeff"a","x ""q"", 1",NA\r\n\n  \n"multi\r\nline\rend",5" pipe,"t"\rlone,cr\n,,\n"",z,"tail"'
+CELLS = [(0, 0, "a"), (0, 1, 'x "q", 1'), (1, 0, "multi\r\nline\rend"), (1, 1, '5" pipe'), (1, 2, "t"), (2, 0, "lone"), (2, 1, "cr"), (4, 1, "z"), (4, 2, "tail")]
 
 
 def cells(df):
     return sorted((r.row_idx, c.col_idx, c.value) for r in df.collect() for c in r.cells)
 
 
-def test_csv_cells_whole_and_by_line(spark, folder):
-    with open(f"{folder}/a b%.csv", "w", newline="") as f:
-        f.write(CSV)
-    whole = csv_cells.read_csv_grid(spark, f"{folder}/*.csv")
-    assert cells(whole) == CELLS and whole.first().path.endswith("/a b%.csv")
-    lines = [(1 if i < 3 else 2, i, line) for i, line in enumerate(CSV.replace("\r\n", "\n").split("\n"))]
-    df = spark.createDataFrame([("p", *x) for x in lines], "path string, block bigint, seq bigint, line string")
-    records = large_csv.line_records(df).select("row_idx", csv_cells.fields(F.col("record")).alias("cells"))
-    assert cells(records) == CELLS
+def put(folder, name, data):
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(data)
 
 
-def test_large_csv_is_split(spark, folder):
-    body = "\n".join(f'{i},"line {i}\nsecond ""{i}""",{i * 2}' for i in range(20000))
-    with open(f"{folder}/big.csv", "w", newline="") as f:
-        f.write("id,note,twice\n" + body + "\n")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+@pytest.mark.parametrize("split", [7, 40, 1 << 20])
+def test_csv_cells_for_any_split(spark, folder, split):
+    put(folder, "a b%.csv", CSV.encode())
+    put(folder, "UPPER.CSV", b"x,y\n1,2")
+    put(folder, "latin.csv", "caf\xe9,1\n2,3\n".encode("latin-1"))
+    put(folder, "open.csv", b'a,b\n"never,closed\n' + b"1,2\n" * 500)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
     try:
-        out = csv_cells.read_csv_grid(spark, f"{folder}/*.csv", whole_file_bytes=1000).orderBy("row_idx").collect()
+        rows = csv_cells.read_csv_grid(spark, folder).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert len(out) == 20001 and [r.row_idx for r in out] == list(range(20001))
-    assert [c.value for c in out[20000].cells] == ["19999", 'line 19999\nsecond "19999"', "39998"]
+        spark.conf.set("spark.sql.files.openCostInBytes", "262144")
+    by_name = {}
+    for r in rows:
+        by_name.setdefault(r.path.rsplit("/", 1)[1], []).append(r)
+    assert sorted((r.row_idx, c.col_idx, c.value) for r in by_name["a b%.csv"] for c in r.cells) == CELLS
+    assert sorted(c.value for r in by_name["UPPER.CSV"] for c in r.cells) == ["1", "2", "x", "y"]
+    assert [(r.sheet_idx, r.sheet, r.cells) for r in by_name["latin.csv"]] == [(-1, "not UTF-8", [])]
+    assert [(r.sheet_idx, r.sheet, r.cells) for r in by_name["open.csv"]] == [(-1, "unclosed quote", [])]
+
+
+def test_csv_content_is_parsed_alike(spark):
+    files = spark.createDataFrame([("p", CSV.encode(), 5), ("q", b'"open', 6)], "path string, content binary, tag int")
+    out = csv_cells.csv_grid(files)
+    assert cells(out.filter("path = 'p'")) == CELLS
+    assert [(r.path, r.sheet_idx, r.tag) for r in out.filter("sheet_idx < 0").collect()] == [("q", -1, 6)]
 
 
 def test_broken_workbook_is_marked(spark):
-    files = spark.createDataFrame([("a.xlsx", b"no zip")], "path string, content binary")
-    assert [(r.path, r.sheet_idx) for r in workbook_cells.workbook_grid(files).collect()] == [("a.xlsx", -1)]
+    import io
+    import zipfile
+
+    def book(**parts):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name, text in parts.items():
+                z.writestr(name.replace("__", "/") + ".xml", text)
+        return out.getvalue()
+
+    files = spark.createDataFrame([("a.xlsx", b"no zip"), ("b.xlsx", b""), ("c.xlsx", book(xl__workbook="<workbook><sheets><sheet/></sheets></workbook>"))], "path string, content binary")
+    got = {r.path: (r.sheet_idx, r.sheet) for r in workbook_cells.workbook_grid(files).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a.xlsx": -1, "b.xlsx": -1, "c.xlsx": -1} and all(v[1] for v in got.values())
 
 
 def test_bulk_merchants(spark):
@@ -173,6 +197,44 @@ def ledger_row(date, mid, house):
     return (date, "Alpha", mid, "d", Decimal(1), Decimal(1), Decimal(house), None, None, None, None, None, None, "me", CLOCK)
 
 
+def test_share_of_the_unrounded_amount(spark):
+    lines = spark.createDataFrame([("p", 0, 1, "1", "x", 1.0, 1.0, 2.345, None)],
+                                  "path string, sheet_idx int, row_idx bigint, mid string, dba string, volume double, total_residual double, house_residual double, reject string")
+    merchants = spark.createDataFrame([("1", "One", 1, "A", Decimal("50.00"), None, None)],
+                                      f"mid string, dba string, is_referred int, agent1_name string, agent1_split {S.PERCENT}, agent2_name string, agent2_split {S.PERCENT}")
+    for out in (load.check_lines(lines, merchants), load.agent_payouts(lines, merchants)):
+        assert out.first().agent1_payout == Decimal("1.17")  # 1.1725
+
+
+def test_deleted_months_stay_deleted(spark, folder):
+    import os
+
+    may, june = dt.date(2024, 5, 1), dt.date(2024, 6, 1)
+    path = f"{folder}/revenue"
+    sinks.append_ledger(spark.createDataFrame([ledger_row(may, "1", 1), ledger_row(may, "2", 1), ledger_row(june, "1", 2)], S.LEDGER_SCHEMA), path)
+    keys = spark.createDataFrame([(may, "Alpha"), (may, "Beta")], "date date, iso string")
+    for _ in range(2):
+        refused = sinks.delete_partner_months(spark, keys, path, f"{folder}/audit", "me")
+        spark.catalog.refreshByPath(path)
+    assert [(r.date, r.mid) for r in sinks.read_ledger(spark, path).collect()] == [(june, "1")]
+    assert not os.path.exists(f"{path}/date=2024-05-01") and refused.count() == 2
+    assert [(r.date, r.iso) for r in spark.read.parquet(f"{folder}/audit").collect()] == [(may, "Alpha")]
+
+
+def test_partner_with_labelled_names_is_known_again(spark, folder):
+    may = dt.date(2024, 5, 1)
+    label = load.SHEET_LABELS.get(next(iter(load.SHEET_CANDIDATES)), next(iter(load.SHEET_CANDIDATES)))
+    row = (may, f"Alpha {label}", "1", "d", Decimal(1), Decimal(1), Decimal(1), None, None, None, None, None, None, "me", CLOCK)
+    sinks.append_ledger(spark.createDataFrame([row], S.LEDGER_SCHEMA), f"{folder}/revenue")
+    ledger = sinks.read_ledger(spark, f"{folder}/revenue")
+    wanted = spark.createDataFrame([("a", may, "Alpha", "multi_sheet"), ("b", may, "Alpha", "generic"), ("c", dt.date(2024, 6, 1), "Alpha", "multi_sheet")],
+                                   "path string, date date, iso string, family string")
+    out = load.flag_loaded(wanted, ledger)
+    assert {r.path: r.is_loaded for r in out.collect()} == {"a": True, "b": False, "c": False}
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "subquery" in [line for line in text.splitlines() if "PartitionFilters" in line and "revenue" in line][0].split("PushedFilters")[0].lower()
+
+
 def test_rewrite_touches_only_its_months(spark, folder):
     may, june = dt.date(2024, 5, 1), dt.date(2024, 6, 1)
     path = f"{folder}/revenue"
