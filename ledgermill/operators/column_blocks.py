@@ -44,32 +44,27 @@ def _first_in_block(start: Column, role: str) -> Column:
 
 
 def _blocks(grid: DataFrame, id_prefix: str) -> DataFrame:
-    """(sheet, block) with its three columns, and the two row marks of the sheet.
+    """Sheets with their blocks (start, id, name and three columns each) and the two row marks.
 
     A block is skipped while a previous block still covers its column, so the ids of a sheet
     are folded from left to right; the fold runs over the cells of one spreadsheet row.
     """
     label = F.col("label")
 
-    marks = grid.groupBy(*SHEET_KEYS).agg(
+    def row(index: int) -> Column:
+        return F.max(F.when(F.col("row_idx") == index, F.col("cells")))
+
+    # one pass: the marks, and the cells of three rows per sheet
+    sheets = grid.groupBy(*SHEET_KEYS).agg(
         F.max(F.array_max(F.col("cells")["col_idx"])).alias("last_column"),
         F.min(F.when((F.col("row_idx") >= HEADING_ROW) & F.contains(label, F.lit(TOTAL_END_LABEL)),
                      F.col("row_idx"))).alias("total_end"),
         F.min(F.when(F.contains(label, F.lit(HOUSE_LABEL)), F.col("row_idx"))).alias("house_row"),
-    )
-
-    def row(index: int) -> Column:
-        return F.max(F.when(F.col("row_idx") == index, F.col("cells")))
-
-    # three rows per sheet
-    heads = grid.filter(F.col("row_idx").isin(DBA_ROW, MID_ROW, HEADING_ROW)).groupBy(*SHEET_KEYS).agg(
         row(DBA_ROW).alias("names"), row(MID_ROW).alias("ids"),
         F.coalesce(row(HEADING_ROW), F.expr(f"cast(array() as {_CELLS})")).alias("heads"),
         F.first("iso").alias("iso"), F.first("date").alias("date"),
     )
-    sheets = heads.filter("ids IS NOT NULL").withColumn("headings", _headings(F.col("heads"))).join(
-        marks, list(SHEET_KEYS)
-    )
+    sheets = sheets.filter("ids IS NOT NULL").withColumn("headings", _headings(F.col("heads")))
     starts = F.filter(
         F.transform(
             F.col("ids"),
@@ -98,44 +93,44 @@ def _blocks(grid: DataFrame, id_prefix: str) -> DataFrame:
         folded,
         lambda b: b["count_col"].isNotNull() & b["gross_col"].isNotNull() & b["payout_col"].isNotNull(),
     )
-    return sheets.select(*SHEET_KEYS, "iso", "date", "total_end", "house_row", "names", F.inline(complete)).withColumn(
-        "dba", merchant_ids.canonical(grids.cell_at(F.col("start"), "names"))
-    ).drop("names")
+    named = F.transform(complete, lambda b: F.struct(
+        b["start"].alias("start"), b["mid"].alias("mid"), merchant_ids.canonical(grids.cell_at(b["start"], "names")).alias("dba"),
+        *[b[role].alias(role) for role in HEADINGS],
+    ))
+    return sheets.select(*SHEET_KEYS, "iso", "date", "total_end", "house_row", named.alias("blocks")).filter(F.size("blocks") > 0)
 
 
 def column_blocks(grid: DataFrame, id_prefix: str = ID_PREFIX) -> DataFrame:
-    """One line per complete block; cells meet their block on (path, sheet, column)."""
+    """One line per complete block.
+
+    A row meets the few blocks of its sheet as one array and picks each block's three cells from its
+    own; the sums need no further shuffle, as rows already lie together by sheet.
+    """
     rows = with_family(grid, "column_blocks").filter(F.col("sheet_idx") == SHEET).withColumn(
         "label", grids.cell_at(F.lit(0))["value"]
     )
     blocks = _blocks(rows, id_prefix)
-    roles = blocks.select(
-        *SHEET_KEYS, "iso", "date", "total_end", "house_row", "start", "mid", "dba",
-        F.explode(F.map_from_arrays(F.array(*[F.lit(r) for r in HEADINGS]), F.array(*HEADINGS)))
-        .alias("role", "col_idx"),
-    )
-    # both sides grow with the statements: never broadcast the exploded cells
-    cells = rows.select(*SHEET_KEYS, "row_idx", "label", F.inline("cells")).drop("kind").hint("merge")
-    amount = numbers.exact(numbers.money_lenient(F.col("value")))
     is_volume = F.lit(False)
     for text_label in VOLUME_LABELS:
         is_volume = is_volume | F.contains(F.col("label"), F.lit(text_label))
     below = F.col("row_idx") >= HEADING_ROW
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0)).cast("double")
-
-    sums = (
-        roles.join(cells, [*SHEET_KEYS, "col_idx"], "left")
-        .groupBy(*SHEET_KEYS, "iso", "date", "start", "mid", "dba")
-        .agg(
-            total((F.col("role") == "count_col") & below & is_volume).alias("volume"),
-            total(
-                (F.col("role") == "gross_col") & below
-                & (F.col("total_end").isNull() | (F.col("row_idx") < F.col("total_end")))
-            ).alias("total_residual"),
-            total((F.col("role") == "payout_col") & (F.col("row_idx") == F.col("house_row"))).alias("house_residual"),
-        )
+    counts = {
+        "count_col": below & is_volume,
+        "gross_col": below & (F.col("total_end").isNull() | (F.col("row_idx") < F.col("total_end"))),
+        "payout_col": F.col("row_idx") == F.col("house_row"),
+    }
+    met = rows.select(*SHEET_KEYS, "row_idx", "label", "cells").join(blocks, list(SHEET_KEYS))
+    picked = F.transform("blocks", lambda b: F.struct(
+        b["start"].alias("start"), b["mid"].alias("mid"), b["dba"].alias("dba"),
+        *[F.when(counts[role], grids.cell_at(b[role])["value"]).alias(role) for role in HEADINGS],
+    ))
+    values = met.select(*SHEET_KEYS, "iso", "date", F.inline(picked))
+
+    def total(role: str) -> Column:
+        return F.coalesce(F.sum(numbers.exact(numbers.money_lenient(F.col(role)))), F.lit(0)).cast("double")
+
+    sums = values.groupBy(*SHEET_KEYS, "iso", "date", "start", "mid", "dba").agg(
+        total("count_col").alias("volume"), total("gross_col").alias("total_residual"), total("payout_col").alias("house_residual"),
     )
     return sums.withColumn("row_idx", F.col("start").cast("bigint")).withColumn(
         "reject", F.lit(None).cast("string")

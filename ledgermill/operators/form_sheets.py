@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions import numbers, text
@@ -51,19 +51,16 @@ def form_per_sheet(grid: DataFrame) -> DataFrame:
         F.min(F.array_min(marked)).alias("volume_column"),
     ).filter("mid_row.seen")
 
-    located = grid.join(sheets.select(*SHEET_KEYS, "volume_column"), list(SHEET_KEYS)).select(
-        *SHEET_KEYS, "row_idx", "iso", "date",
+    # rows of a sheet lie together after the join, so start and volume need no further shuffle
+    located = grid.select(*SHEET_KEYS, "row_idx", "iso", "date", "cells").join(sheets, list(SHEET_KEYS)).select(
+        *SHEET_KEYS, "row_idx", "iso", "date", *[c for c in sheets.columns if c not in (*SHEET_KEYS, "volume_column")],
         grids.cell_at(F.col("volume_column"))["value"].alias("value"),
     )
-    starts = located.groupBy(*SHEET_KEYS).agg(
-        F.min(F.when(F.col("value").isNotNull(), F.col("row_idx"))).alias("start"),
-        F.first("iso").alias("iso"), F.first("date").alias("date"),
+    start = F.min(F.when(F.col("value").isNotNull(), F.col("row_idx"))).over(Window.partitionBy(*SHEET_KEYS))
+    volumes = located.withColumn("start", start).groupBy(*SHEET_KEYS).agg(
+        F.max(F.when(F.col("row_idx") == F.col("start") + VOLUME_OFFSET, F.col("value"))).alias("raw_volume"),
+        *[F.first(c).alias(c) for c in ("iso", "date", "mid_row", "dba_row", "merchant_row", "house")],
     )
-    volumes = starts.join(
-        located.select(*SHEET_KEYS, (F.col("row_idx") - VOLUME_OFFSET).alias("start"),
-                       F.col("value").alias("raw_volume")),
-        [*SHEET_KEYS, "start"], "left",
-    ).drop("start")
 
     name = F.when(F.col("dba_row.seen"), text.text_after_marker(F.col("dba_row.text"), NAME_LABELS[0])).when(
         F.col("merchant_row.seen"), text.text_after_marker(F.col("merchant_row.text"), NAME_LABELS[1])
@@ -72,8 +69,7 @@ def form_per_sheet(grid: DataFrame) -> DataFrame:
     house = numbers.money_paren_plain(F.col("house"))
     mid = text.text_after_marker(F.col("mid_row.text"), MID_LABEL)
     return (
-        sheets.join(volumes, list(SHEET_KEYS))
-        .select(
+        volumes.select(
             *SHEET_KEYS, F.lit(0).cast("bigint").alias("row_idx"), "iso", "date",
             mid.alias("mid"), name.alias("dba"), volume.alias("volume"),
             F.lit(0.0).alias("total_residual"), house.alias("house_residual"),
