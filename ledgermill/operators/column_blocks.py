@@ -52,18 +52,19 @@ def _blocks(grid: DataFrame, id_prefix: str) -> DataFrame:
     label = F.col("label")
 
     def row(index: int) -> Column:
-        return F.max(F.when(F.col("row_idx") == index, F.col("cells")))
+        return F.get(F.filter("tops", lambda t: t["row_idx"] == index), F.lit(0))["cells"]
 
-    # one pass: the marks, and the cells of three rows per sheet
+    # one pass: the marks, and the cells of three rows per sheet (a list, so that nothing is sorted)
+    tops = F.when(F.col("row_idx").isin(DBA_ROW, MID_ROW, HEADING_ROW), F.struct("row_idx", "cells"))
     sheets = grid.groupBy(*SHEET_KEYS).agg(
         F.max(F.array_max(F.col("cells")["col_idx"])).alias("last_column"),
         F.min(F.when((F.col("row_idx") >= HEADING_ROW) & F.contains(label, F.lit(TOTAL_END_LABEL)),
                      F.col("row_idx"))).alias("total_end"),
         F.min(F.when(F.contains(label, F.lit(HOUSE_LABEL)), F.col("row_idx"))).alias("house_row"),
-        row(DBA_ROW).alias("names"), row(MID_ROW).alias("ids"),
-        F.coalesce(row(HEADING_ROW), F.expr(f"cast(array() as {_CELLS})")).alias("heads"),
-        F.first("iso").alias("iso"), F.first("date").alias("date"),
-    )
+        F.collect_list(tops).alias("tops"), F.first("iso").alias("iso"), F.first("date").alias("date"),
+    ).withColumns({
+        "names": row(DBA_ROW), "ids": row(MID_ROW), "heads": F.coalesce(row(HEADING_ROW), F.expr(f"cast(array() as {_CELLS})")),
+    })
     sheets = sheets.filter("ids IS NOT NULL").withColumn("headings", _headings(F.col("heads")))
     starts = F.filter(
         F.transform(
@@ -120,16 +121,26 @@ def column_blocks(grid: DataFrame, id_prefix: str = ID_PREFIX) -> DataFrame:
         "payout_col": F.col("row_idx") == F.col("house_row"),
     }
     met = rows.select(*SHEET_KEYS, "row_idx", "label", "cells").join(blocks, list(SHEET_KEYS))
-    picked = F.transform("blocks", lambda b: F.struct(
-        b["start"].alias("start"), b["mid"].alias("mid"), b["dba"].alias("dba"),
-        *[F.when(counts[role], grids.cell_at(b[role])["value"]).alias(role) for role in HEADINGS],
-    ))
-    values = met.select(*SHEET_KEYS, "iso", "date", F.inline(picked))
+    # a row's cells that count, each with its block; the row of the ids names every block
+    def cells_of(b: Column) -> Column:
+        found = [
+            F.struct(b["start"].alias("start"), b["mid"].alias("mid"), b["dba"].alias("dba"), F.lit(role).alias("role"),
+                     F.when(F.col(f"is_{role}"), grids.cell_at(b[role])["value"]).alias("value"))
+            for role in HEADINGS
+        ]
+        return F.filter(F.array(*found), lambda x: x["value"].isNotNull() | ((F.col("row_idx") == MID_ROW) & (x["role"] == "count_col")))
+
+    needed = F.col("row_idx") == MID_ROW
+    for condition in counts.values():
+        needed = needed | condition
+    met = met.filter(needed).withColumns({f"is_{role}": F.coalesce(condition, F.lit(False)) for role, condition in counts.items()})
+    values = met.select(*SHEET_KEYS, "iso", "date", F.inline(F.flatten(F.transform("blocks", cells_of))))
+    amount = numbers.exact(numbers.money_lenient(F.col("value")))
 
     def total(role: str) -> Column:
-        return F.coalesce(F.sum(numbers.exact(numbers.money_lenient(F.col(role)))), F.lit(0)).cast("double")
+        return F.coalesce(F.sum(F.when(F.col("role") == role, F.col("amount"))), F.lit(0)).cast("double")
 
-    sums = values.groupBy(*SHEET_KEYS, "iso", "date", "start", "mid", "dba").agg(
+    sums = values.withColumn("amount", amount).groupBy(*SHEET_KEYS, "iso", "date", "start", "mid", "dba").agg(
         total("count_col").alias("volume"), total("gross_col").alias("total_residual"), total("payout_col").alias("house_residual"),
     )
     return sums.withColumn("row_idx", F.col("start").cast("bigint")).withColumn(

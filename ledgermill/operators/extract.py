@@ -23,11 +23,15 @@ from ledgermill.schemas import AMOUNTS, SHEET_KEYS
 SLOTS = ("mid", "dba", *AMOUNTS, "other")
 LINE_COLUMNS = ("path", "sheet_idx", "row_idx", "iso", "date", "mid", "dba", *AMOUNTS, "reject")
 
-# Date notations accepted in the payout date column.
-DATE_FORMATS = (
-    "yyyy-M-d", "yyyy/M/d", "yyyyMMdd", "M/d/yyyy", "M/d/yy", "M-d-yyyy", "d-MMM-yyyy", "d-MMM-yy", "d MMM yyyy", "d MMMM yyyy",
-    "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
-)
+# Date notations accepted in the payout date column, each with its shape.
+DATE_FORMATS = {
+    "yyyy-M-d": r"\d{4}-\d{1,2}-\d{1,2}", "yyyy/M/d": r"\d{4}/\d{1,2}/\d{1,2}", "yyyyMMdd": r"\d{8}",
+    "M/d/yyyy": r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yy": r"\d{1,2}/\d{1,2}/\d{2}", "M-d-yyyy": r"\d{1,2}-\d{1,2}-\d{4}",
+    "d-MMM-yyyy": r"\d{1,2}-\p{L}{3}-\d{4}", "d-MMM-yy": r"\d{1,2}-\p{L}{3}-\d{2}",
+    "d MMM yyyy": r"\d{1,2} \p{L}{3} \d{4}", "d MMMM yyyy": r"\d{1,2} \p{L}{4,} \d{4}",
+    "MMM d, yyyy": r"\p{L}{3} \d{1,2}, \d{4}", "MMMM d, yyyy": r"\p{L}{4,} \d{1,2}, \d{4}",
+    "MMM d yyyy": r"\p{L}{3} \d{1,2} \d{4}", "MMMM d yyyy": r"\p{L}{4,} \d{1,2} \d{4}",
+}
 # A time of day behind a date.
 _TIME = r"[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp]\.?[Mm]\.?)?(?:Z|[+-]\d{2}:?\d{2})?$"
 
@@ -192,7 +196,12 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
             .otherwise(F.col("problem")),
         )
         day_text = F.regexp_replace(F.trim(F.col("other")["value"]), _TIME, "")
-        day = F.coalesce(*[_day(day_text, f) for f in DATE_FORMATS])
+        ids = ids.withColumn("_day_text", day_text)
+        day = F.lit(None).cast("date")
+        for notation, shape in DATE_FORMATS.items():  # a value is parsed once, by the notation of its shape
+            day = F.when(F.col("_day_text").rlike(f"^{shape}$"), _day(F.col("_day_text"), notation)).otherwise(day)
+        ids = ids.withColumn("_day", day)
+        day_text, day = F.col("_day_text"), F.col("_day")
         # a line whose filled date says nothing is refused rather than left out
         lost = (F.col("family") == "payout_period") & (day_text != "") & day.isNull() & F.col("mid_text").isNotNull()
         ids = ids.withColumn("problem", F.coalesce("problem", F.when(lost, REJECT_DATE)))
