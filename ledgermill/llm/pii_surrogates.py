@@ -13,6 +13,8 @@ Everything is a DataFrame expression. Mail addresses are drawn in two parts, so
 a domain still do; names word by word, so "Mrs. Ada Byron" and "Mrs. Byron" still share a surname, and
 later mentions of the full name without title follow in the same text.
 
+A corpus that uses up a format widens it: see ``surrogates``.
+
 Defined results: a null text stays null with no entities, an empty one empty. Repeated rows get equal results.
 Text without entities is returned as it is.
 """
@@ -31,7 +33,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-]++(?:\.[\p{L}\p{N}_%+-]++)*+@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}(?![\p{L}\p{N}])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
-    "secret": r"(?<![\p{L}\p{N}])(?=[0-9a-f]*\d)[0-9a-f]{32,128}(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?=[0-9A-Fa-f]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\p{L}\p{N}])",
@@ -44,11 +46,15 @@ TITLES = {
     "n": ("Dr", "Prof", "Professor"),
 }
 _TITLE = "|".join(t for ts in TITLES.values() for t in ts)
-_NAME_WORD = r"\p{Lu}[\p{L}'’-]++"
+#: A closing 's is no part of a name.
+_NAME_WORD = r"\p{Lu}(?:\p{L}|(?!['’]s(?!\p{L}))['’-](?=\p{L}))++"
 KINDS["name"] = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_NAME_WORD}(?: {_NAME_WORD}){{0,2}}"
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without this has no entity; it spares most texts the full expression.
-HINT = rf"@\p{{L}}|@\d|\d[ .()-]?\d|[0-9a-f]{{32}}|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"@\p{{L}}|@\d|\d[ .()-]?\d|[0-9a-f]{{32}}|[0-9A-F]{{32}}|(?:{_TITLE})\.? \p{{Lu}}"
+
+#: Attempts after which real values may be drawn, and after which formats grow.
+DENSE, WIDEN = 10, 20
 
 #: Syllables that names are drawn from, by script.
 SYLLABLES = {
@@ -97,7 +103,9 @@ def _same_shape(text: Column, draw: Column) -> Column:
 
 
 def _hex_shape(text: Column, draw: Column) -> Column:
-    return F.array_join(F.transform(_characters(text), lambda c, i: _pick("0123456789abcdef", _byte(draw, i))), "")
+    """Hex digits for hex digits, in the entity's case."""
+    drawn = F.array_join(F.transform(_characters(text), lambda c, i: _pick("0123456789abcdef", _byte(draw, i))), "")
+    return F.when(text == F.upper(text), F.upper(drawn)).otherwise(drawn)
 
 
 def _ip(draw: Column) -> Column:
@@ -147,25 +155,32 @@ def _name(kind: Column, word: Column, draw: Column, attempt: Column) -> Column:
 def _candidate(key: str) -> Column:
     kind, entity, attempt = F.col("kind"), F.col("entity"), F.col("attempt")
     draw = F.col("_draw")
-    return (
+    drawn = (
         F.when(kind == "ip", _ip(draw)).when(kind == "secret", _hex_shape(entity, draw)).when(kind == "card", _card(entity, draw))
         .when(kind == "phone", _phone(entity, draw)).when(kind == "iban", F.concat(F.substring(entity, 1, 2), F.substring(_same_shape(entity, draw), F.lit(3), F.length(entity))))
         .when(kind.startswith("given-") | (kind == "surname"), _name(kind, entity, draw, attempt)).otherwise(_same_shape(entity, draw))
     )
+    # short mailboxes are soon used up; other formats grow only after many attempts
+    longer = F.when(kind.isin("mailbox", "domain"), F.floor((attempt - 3) / 3)).otherwise(F.floor((attempt - WIDEN) / 2) + 1)
+    return F.concat(drawn, F.substring(F.translate(draw, "abcdef", "012345"), F.lit(1), F.greatest(F.lit(0), longer.cast("int"))))
 
 
 def surrogates(entities: DataFrame, key: str, most: int = 60) -> DataFrame:
-    """(kind, entity, surrogate) for distinct (kind, entity): distinct inside a kind, and never an entity itself."""
+    """(kind, entity, surrogate) for distinct (kind, entity): distinct inside a kind, and no entity of the corpus.
+
+    Where the corpus leaves a format hardly a free value, ``DENSE`` attempts later a surrogate may be another real
+    value (never the entity's own), and from attempt ``WIDEN`` on it gets more digits.
+    """
     todo = stage(entities.withColumn("attempt", F.lit(0)), "entities")
     taken = None
     done = []
-    for _ in range(most):
+    for attempt in range(most):
         drawn = todo.withColumn("_draw", _draw(key, F.col("kind"), F.col("entity"), F.col("attempt")))
         drawn = drawn.select("kind", "entity", "attempt", _candidate(key).alias("surrogate"))
         drawn = stage(drawn, "candidates")
         # one entity may keep a candidate (the smallest), unless it is in use or real
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
-        real = entities.select("kind", F.col("entity").alias("surrogate"))
+        first = drawn.where("surrogate <> entity").groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
+        real = entities.where(F.lit(attempt < DENSE)).select("kind", F.col("entity").alias("surrogate"))
         used = real if taken is None else real.union(taken)
         kept = stage(first.join(used, ["kind", "surrogate"], "left_anti").select("kind", "entity", "surrogate"), "kept")
         done.append(kept)
@@ -225,23 +240,23 @@ def replace(docs: DataFrame, key: str, text: str = "text", count: str | None = "
     stays = parts.where(F.col("kind").isNull()).select("_id", "_at", "_nth", F.col("entity").alias("old"), F.col("entity").alias("new"), F.lit(0).alias("named"))
     named = F.when(F.col("kind").startswith("given-") | (F.col("kind") == "surname"), 1).otherwise(0)
     both = replaced.select("_id", "_at", "_nth", F.col("entity").alias("old"), F.col("surrogate").alias("new"), named.alias("named")).union(stays)
-    # one row's entities, in order: as many as its text holds
-    rows = both.groupBy("_id").agg(F.sort_array(F.collect_list(F.struct("_at", "_nth", "old", "new", "named"))).alias("_new"))
-    whole = hits.join(rows, "_id")
-    join = lambda at: F.aggregate(F.filter("_new", lambda x: x["_at"] == at), F.lit(""), lambda s, x: F.concat(s, x["new"]))
-    built = F.array_join(F.transform("_pieces", lambda piece, at: F.concat(piece, join(at))), "")
-    whole = whole.withColumn("_out", built)
-    # full names (two words or more) that come again without title
-    word = lambda x: x["named"] == 1
-    full = F.filter(
-        F.transform(F.array_distinct(F.transform(F.filter("_new", word), lambda x: x["_at"])), lambda at: F.filter("_new", lambda x: (x["_at"] == at) & word(x))),
-        lambda words: F.size(words) > 1,
+    # first the parts of an entity, then a row's entities: as many as its text holds
+    of = lambda field: F.transform(F.filter("_parts", lambda x: x["named"] == 1), lambda x: x[field])
+    entities = both.repartition("_id").groupBy("_id", "_at").agg(F.sort_array(F.collect_list(F.struct("_nth", "old", "new", "named"))).alias("_parts"))
+    full = F.struct((-F.length(F.array_join(of("old"), " "))).alias("rank"), F.array_join(of("old"), " ").alias("old"), F.array_join(of("new"), " ").alias("new"))
+    entities = entities.select(
+        "_id", F.struct("_at", F.lit(1).alias("_then"), F.array_join(F.transform("_parts", lambda x: x["new"]), "").alias("text")).alias("_one"),
+        F.when(F.size(of("old")) > 1, full).alias("_full"),
     )
+    rows = entities.groupBy("_id").agg(F.collect_list("_one").alias("_new"), F.sort_array(F.collect_set("_full")).alias("_names"))
+    whole = hits.join(rows, "_id")
+    # piece k stands before entity k
+    pieces = F.transform("_pieces", lambda piece, at: F.struct(at.alias("_at"), F.lit(0).alias("_then"), piece.alias("text")))
+    built = F.array_join(F.transform(F.sort_array(F.concat(pieces, F.col("_new"))), lambda x: x["text"]), "")
+    # full names (two words or more) that come again without title, the longest first
     again = F.aggregate(
-        full, F.col("_out"),
-        lambda t, ws: F.replace(t, F.array_join(F.transform(ws, lambda x: x["old"]), " "), F.array_join(F.transform(ws, lambda x: x["new"]), " ")),
-    )
-    whole = whole.withColumn("_out", F.when(F.exists("_new", word), again).otherwise(F.col("_out")))
+        "_names", built, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), x["old"], F.lit(r"(?![\p{L}\p{N}])")), x["new"]))
+    whole = whole.withColumn("_out", again)
     changed = whole.select("_row", F.col("_out").alias("_text"), F.size("_found").cast("long").alias("_n"))
     same = cut.where(F.size("_found") == 0).select("_row", "_text", F.lit(0).cast("long").alias("_n"))
     out = changed.union(same)

@@ -75,3 +75,18 @@ def test_many_entities_in_one_text_and_clashing_columns(spark):
     assert len(out) == 2 and out[0] == out[1] and out[0].n_entities == 3000 and out[0].kind == "x" and out[0]["_id"] == 9
     assert len(set(out[0].text.split())) == 50
     assert q.replace(docs.limit(0), "k").count() == 0
+
+
+def test_used_up_formats_stay_distinct(spark):
+    words = [("mailbox", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("ssn", str(k)) for k in range(10)]
+    out = q.surrogates(spark.createDataFrame(words, "kind string, entity string"), "k").collect()
+    assert {(r.kind, r.entity) for r in out} == set(words) and len(out) == 36
+    assert len({(r.kind, r.surrogate) for r in out}) == 36 and all(r.entity != r.surrogate for r in out)
+    assert all(len(r.surrogate) > 1 for r in out if r.kind == "mailbox")
+
+
+def test_upper_case_secrets_and_possessives(spark):
+    got = run(spark, ['TOKEN = "24BE64439E3E49CF46B2D7C90F3602A3D0B907FF"', "Mrs. Ada Byron's house; Ada Byron's; Ada Byronson", "Mrs. Ada Byron"])
+    assert re.fullmatch(r'TOKEN = "[0-9A-F]{40}"', got[0].text) and "24BE" not in got[0].text
+    whole = got[2].text.removeprefix("Mrs. ")
+    assert got[1].text == f"Mrs. {whole}'s house; {whole}'s; Ada Byronson"
