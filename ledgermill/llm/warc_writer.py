@@ -11,7 +11,7 @@ Of records with equal payloads of at least ``REVISIT_BYTES``, the smallest id is
 
 Defined results: a null payload is empty; a null address becomes ``urn:page:<id>``. A null id sorts
 first and its record has no id field; it neither revisits nor is revisited. Rows repeated with the same
-id are both written, with one record type. An empty table gives no file and an empty manifest.
+id are all written; each one's type goes by its own payload. An empty table gives no file and an empty manifest.
 """
 
 from __future__ import annotations
@@ -69,14 +69,14 @@ def member(data: bytes, level: int) -> bytes:
 
 
 def plan(pages: DataFrame, page_id: str = "page_id", payload: str = "html") -> DataFrame:
-    """(id, first): the ids whose payload the smaller id ``first`` has already."""
+    """(id, digest, first): the payloads of an id that the smaller id ``first`` has already."""
     body = F.encode(F.coalesce(payload, F.lit("")), "UTF-8")
     own = pages.select(F.col(page_id).cast("long").alias("id"), F.octet_length(body).alias("size"), F.sha2(body, 256).alias("digest"))
     own = stage(own.where(F.col("id").isNotNull() & (F.col("size") >= REVISIT_BYTES)).drop("size"), "digests")
     groups = own.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     total = own.count()
     met = join_hot(own, stage(groups, "copies"), "digest", F.col("n") > max(1000, total * HOT_SHARE))
-    return met.where("id > first").select("id", "first").distinct()
+    return met.where("id > first").select("id", "digest", "first").distinct()
 
 
 def bounds(ids: DataFrame, column: str, ranges: int, sample: int = 100_000) -> list[int]:
@@ -100,17 +100,17 @@ def write(
     rows = pages.select(
         F.col(page_id).cast("long").alias("id"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first"),
         F.col(url).cast("string").alias("url"), F.encode(F.coalesce(payload, F.lit("")), "UTF-8").alias("payload"),
-    )
-    marks = revisits.select("id", F.lit(0).alias("kind"), "first", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
+    ).withColumn("digest", F.sha2("payload", 256))
+    marks = revisits.select("id", F.lit(0).alias("kind"), "first", "digest", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
     edges = F.array(*[F.lit(c).cast("long") for c in cuts]).cast("array<long>")
     dealt = rows.unionByName(marks).withColumn("range", F.coalesce(F.size(F.filter(edges, lambda c: c <= F.col("id"))), F.lit(0)))
-    # equal ids: by address and payload, so that the order is fixed
-    ordered = dealt.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", F.asc_nulls_first("id"), "kind", F.asc_nulls_first("url"), "payload")
+    # equal ids: by payload (a mark stands before its rows) and address, so that the order is fixed
+    ordered = dealt.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", F.asc_nulls_first("id"), "digest", "kind", F.asc_nulls_first("url"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, top = pafs.FileSystem.from_uri(folder)
         store.create_dir(top, recursive=True)
-        now, part, out, mark = None, 0, None, (None, None)
+        now, part, out, mark = None, 0, None, None
 
         def close() -> pd.DataFrame:
             out["stream"].close()
@@ -121,7 +121,7 @@ def write(
             for r in frame.itertuples(index=False):
                 own = None if pd.isna(r.id) else int(r.id)
                 if r.kind == 0:
-                    mark = (own, int(r.first))
+                    mark = (own, r.digest, int(r.first))
                     continue
                 if out and (r.range != now or out["bytes"] >= roll_bytes):
                     part = part + 1 if r.range == now else 0
@@ -132,7 +132,8 @@ def write(
                     name = f"pages-{now:06d}-{part:04d}.warc.gz"
                     temp = f"{top}/_tmp-{uuid.uuid4().hex}-{name}"
                     out = {"file": name, "temp": temp, "stream": store.open_output_stream(temp, compression=None), "sha": hashlib.sha256(), "records": 0, "bytes": 0, "first_id": own}
-                data = member(record(own, r.url, r.payload, mark[1] if own is not None and mark[0] == own else None, date), level)
+                first = mark[2] if mark and own is not None and mark[:2] == (own, r.digest) else None
+                data = member(record(own, r.url, r.payload, first, date), level)
                 out["stream"].write(data)
                 out["sha"].update(data)
                 out |= {"records": out["records"] + 1, "bytes": out["bytes"] + len(data), "last_id": own}

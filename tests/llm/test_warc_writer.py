@@ -15,6 +15,7 @@ def rows():
     out = [(k, f"http://a.example/{k}?q=ü b", f"<p>{k}</p>" + "é" * k) for k in range(40)]
     out += [(100, "u", LONG), (90, "u", LONG), (95, None, LONG), (200, "v", "x" * 99), (201, "v", "x" * 99), (300, "w", None), (301, "w", ""), (302, "n\nX: y", "z" * 300_000)]
     out += [(400, "t", "same" * 30), (400, "t", "same" * 30), (None, "null", LONG)]
+    out += [(500, "a", LONG), (500, "b", "other" * 40), (500, "c", "<p>same id, other pages</p>"), (501, "d", "other" * 40)]
     return out
 
 
