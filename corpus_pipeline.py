@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ledgermill.llm import pfair_mix, pii_surrogates, piece_lattice, quality_rules, simhash
 from ledgermill.llm.common import new_folder, table
@@ -25,11 +24,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without an id cannot stand for a group and stay.
     """
-    stay = simhash.near_duplicates(docs, words=3, max_bits=3).where("kept").select(F.col("doc_id").alias("_stays")).distinct()
-    found = docs.join(stay, F.col("doc_id") == F.col("_stays"))
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one = found.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select(F.col("doc_id").alias("_id"), F.struct("text", *[F.col(f"`{c}`") for c in rest]).alias("_row"))
+    stay = simhash.near_duplicates(docs, words=3, max_bits=3).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    one = rows.join(stay, "_id").groupBy("_id").agg(F.min("_row").alias("_row"))  # the join's order serves the grouping
+    out = one.unionByName(rows.where(F.col("_id").isNull()))
+    return out.select(*[F.col("_id").alias(c) if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
