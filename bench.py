@@ -82,7 +82,8 @@ def queries(spark, v: Views, folder: str) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    folder = tempfile.mkdtemp(prefix="ledger-bench-")
+    # a cluster needs a folder that its executors share
+    folder = os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="ledger-bench-")
     spark = local_session(cpus, **{"spark.checkpoint.dir": folder, "spark.python.sql.dataFrameDebugging.enabled": "false"})
     v = Views(spark, sf_dir)
     started = time.time()

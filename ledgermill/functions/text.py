@@ -14,7 +14,9 @@ MONTH_NUMBERS = {
     "Jan": 1, "Feb": 2, "Mar": 3, "Apr": 4, "Jun": 6, "Jul": 7, "Aug": 8, "Sep": 9, "Sept": 9,
     "Oct": 10, "Nov": 11, "Dec": 12,
 }
-FULL_MONTHS = tuple(name for name in MONTH_NUMBERS if len(name) > 4 or name in ("May", "June", "July"))
+FULL_MONTHS = (
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December",
+)
 
 
 def unchanged(text: Column) -> Column:

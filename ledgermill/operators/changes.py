@@ -8,6 +8,7 @@ very often is reduced map-side.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -182,16 +183,25 @@ LEDGER_KEYS = ["date", "iso", "mid"]
 LEDGER_EDITS = ("mid", "dba", *AMOUNTS, *AGENT_COLUMNS)
 
 
-def ledger_update(ledger: DataFrame, changes: DataFrame) -> Changed:
-    """Overwrite the lines under (date, iso, old_mid), which may give them another ``mid``."""
+def ledger_update(
+    ledger: DataFrame, changes: DataFrame, updated_by: str | None = None, updated_at: dt.datetime | str | None = None,
+) -> Changed:
+    """Overwrite the lines under (date, iso, old_mid), which may give them another ``mid``.
+
+    With ``updated_by`` or ``updated_at`` the edited lines carry that stamp; without them the stamp of the load stays.
+    """
     latest = last_per_key(changes, "date", "iso", "old_mid")
     renamed = latest.select(
         "date", "iso", F.col("old_mid").alias("mid"), F.col("mid").alias("new_mid"),
         *[c for c in LEDGER_EDITS if c != "mid"],
     )
-    table = _overwrite(
-        ledger, renamed, LEDGER_KEYS, {c: ("new_mid" if c == "mid" else c) for c in LEDGER_EDITS}
-    )
+    stamps = {}
+    if updated_by is not None:
+        stamps["updated_by"] = F.lit(updated_by)
+    if updated_at is not None:
+        stamps["updated_at"] = F.lit(str(updated_at)).cast("timestamp_ntz")
+    edits = {c: ("new_mid" if c == "mid" else c) for c in (*LEDGER_EDITS, *stamps)}
+    table = _overwrite(ledger, renamed.withColumns(stamps) if stamps else renamed, LEDGER_KEYS, edits)
     refused = renamed.select(*LEDGER_KEYS).join(ledger.select(*LEDGER_KEYS), LEDGER_KEYS, "left_anti")
     return Changed(table, _refuse(refused, NOT_FOUND))
 

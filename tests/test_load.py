@@ -243,6 +243,9 @@ def test_rewrite_touches_only_its_months(spark, folder):
     edit = spark.createDataFrame([(1, may, "Alpha", "1", "7", "new", *[Decimal(9)] * 3, None, None, None, None, None, None)],
                                  f"seq int, date date, iso string, old_mid string, mid string, dba string, volume {S.MONEY}, total_residual {S.MONEY}, house_residual {S.MONEY}, "
                                  f"agent1_name string, agent1_percentage {S.PERCENT}, agent1_payout {S.MONEY}, agent2_name string, agent2_percentage {S.PERCENT}, agent2_payout {S.MONEY}")
+    stamped = changes.ledger_update(ledger, edit, "you", "2025-01-01 00:00:00").table.collect()
+    old = ledger.where("mid = '1' AND date = '2024-06-01'").first()
+    assert {(r.mid, r.updated_by, r.updated_at) for r in stamped} == {("7", "you", dt.datetime(2025, 1, 1)), ("1", old.updated_by, old.updated_at)}
     sinks.rewrite_months(changes.ledger_update(ledger, edit).table, edit, path)
     spark.catalog.refreshByPath(path)
     got = {(r.date, r.mid): r.house_residual for r in sinks.read_ledger(spark, path).collect()}
