@@ -7,7 +7,8 @@ within a block, give each row its byte range in the old shard.
 
 The flow from old sizes to new capacities moves the fewest bytes (or the least cost, given a cost table); its amounts cut the old
 shard's byte range into intervals, one for each target, the one that stays first. A row goes where the middle of its range lies, so
-a shard misses its capacity by half a row for each interval at most. Only blocks that move are written anew.
+a shard misses its capacity by half a row for each interval at most. Old shards give rows to new ones or take some, so
+all of them are affected: ``write_shards`` writes each new shard with whole rows, those that stay included.
 
 The flow's graph has shards as nodes; rows and blocks never leave the executors.
 
@@ -162,14 +163,22 @@ def place(
 
 
 def rewrite(placed: DataFrame, payload: Sequence[str], folder: str | None = None) -> str:
-    """Write the new layout: below ``moved=true/shard=N`` whole rows that changed shards, below
-    ``moved=false/shard=N`` the place of the others, whose payload stays in the old files. Returns the folder."""
+    """Write the moves only, no layout that stands alone: below ``moved=true/shard=N`` whole rows that changed shards,
+    below ``moved=false/shard=N`` the place of the others without ``payload``, for a caller who keeps the old files.
+    Returns the folder."""
     folder = folder or new_folder(placed.sparkSession, "shards")
     kept = {c: F.when(F.col("moved"), F.col(c)) for c in payload}
     placed.withColumns(kept).write.partitionBy("moved", "shard").parquet(folder)
     return folder
 
 
+def write_shards(placed: DataFrame, folder: str | None = None) -> str:
+    """Write the new layout: below ``shard=N`` all rows of shard N, whole. Returns the folder."""
+    folder = folder or new_folder(placed.sparkSession, "shards")
+    placed.write.partitionBy("shard").parquet(folder)
+    return folder
+
+
 def layout(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """What ``rewrite`` left in ``folder``; ``schema`` is that of the rows it was given."""
+    """What ``write_shards`` (or ``rewrite``) left in ``folder``; ``schema`` is that of the rows it was given."""
     return spark.read.schema(schema).parquet(folder)

@@ -80,3 +80,17 @@ def test_equal_texts_stay_neighbours(spark):
 
 def test_empty(spark):
     assert place(spark, []) == []
+
+
+def test_every_shard_of_the_query_is_whole(spark, folder, monkeypatch):
+    from ledgermill.llm import queries
+
+    rows = [(k, "é" * (k % 70) + str(k), "en", f"s{k % 3}", k) for k in range(2000)] + [(5000, None, None, None, None), (5001, "", "en", "s1", 0)]
+    spark.createDataFrame(rows, DOCS + ", lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(q, "new_folder", lambda spark, label: f"{folder}/{label}")
+    out = queries.op6_resharding(spark, folder).collect()
+    files = spark.read.parquet(f"{folder}/shards").select("doc_id", "text", "lang", "source", "n_chars", "shard", "slot").collect()
+    assert sorted((tuple(r)[:5] for r in files), key=str) == sorted(rows, key=str)
+    assert {(r.doc_id, r.shard, r.slot) for r in files} == {(r.doc_id, r.shard, r.slot) for r in out}
+    assert {r.shard for r in files} == set(range(16)) and {r.moved for r in out} == {True, False}
+    assert {r.doc_id: r.text_crc32 for r in out} == {r[0]: zlib.crc32((r[1] or "").encode()) for r in rows}
