@@ -9,6 +9,8 @@ readers go by, so nothing of a broken job is ever read.
 
 Of records with equal payloads of at least ``REVISIT_BYTES``, the smallest id is the response and the others revisit it.
 
+Ids are exact over all 64 bits, also beside null ids.
+
 Defined results: a null payload is empty; a null address becomes ``urn:page:<id>``. A null id sorts
 first and its record has no id field; it neither revisits nor is revisited. Rows repeated with the same
 id are all written; each one's type goes by its own payload. An empty table gives no file and an empty manifest.
@@ -106,6 +108,8 @@ def write(
     dealt = rows.unionByName(marks).withColumn("range", F.coalesce(F.size(F.filter(edges, lambda c: c <= F.col("id"))), F.lit(0)))
     # equal ids: by payload (a mark stands before its rows) and address, so that the order is fixed
     ordered = dealt.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", F.asc_nulls_first("id"), "digest", "kind", F.asc_nulls_first("url"))
+    # ids travel as text: pandas makes whole numbers with nulls floats, which round them
+    ordered = ordered.withColumns({c: F.col(c).cast("string") for c in ("id", "first")})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, top = pafs.FileSystem.from_uri(folder)
@@ -205,12 +209,13 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                     yield _frame(rows)
 
     files = read_manifest(spark, folder).select("file")
-    return files.repartition(max(1, files.count()), "file").mapInPandas(run, RECORDS)
+    found = files.repartition(max(1, files.count()), "file").mapInPandas(run, RECORDS.replace("_id long", "_id string").replace("refers_to long", "refers_to string"))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
-    return out.assign(**{c: pd.to_numeric(out[c]).astype("Int64") for c in ("page_id", "refers_to")})
+    """Ids stay text here, see ``write``."""
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in RECORDS.split(", ")])
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, **how) -> DataFrame:

@@ -70,3 +70,17 @@ def test_headers_cannot_be_broken_and_damage_is_found():
 
 def test_empty(spark, folder):
     assert w.round_trip(spark.createDataFrame([], PAGES), "file://" + folder).count() == 0
+
+
+def test_ids_beyond_the_floats_beside_a_null_id(spark, folder):
+    big = 1 << 53
+    data = [(big + 1, "a", LONG), (big + 2, "b", LONG), (big + 3, "c", "<p>own</p>"), (None, "n", LONG), ((1 << 63) - 1, "d", LONG), (-big - 1, "e", "other" * 40), (-big, "f", "other" * 40)]
+    out = w.round_trip(spark.createDataFrame(data, PAGES).coalesce(1), "file://" + folder).collect()
+    got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out), key=str)
+    assert got == expected(data) and sum(r.record_type == "revisit" for r in out) == 3
+    (f,) = w.read_manifest(spark, "file://" + folder).collect()
+    assert (f.first_id, f.last_id) == (None, (1 << 63) - 1)
+    with open(f"{folder}/{f.file}", "rb") as stream:
+        heads = [fields for fields, _, _ in w.parse(stream)]
+    ids = {h["WARC-Record-ID"] for h in heads}
+    assert all(h["WARC-Refers-To"] in ids for h in heads if h["WARC-Type"] == "revisit")
