@@ -20,15 +20,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays; of rows with one id, the first by text.
+    """Of each group of near-duplicates one document stays: the one with the smallest id.
 
+    The verdict is each row's own: rows of one id whose texts are no near-duplicates are judged apart. Where the smallest
+    id has several texts in a group, the one with the smallest digest stays, and of equal rows the first by the other columns.
     Rows without an id cannot stand for a group and stay.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rows = docs.select(F.col("doc_id").alias("_id"), F.struct("text", *[F.col(f"`{c}`") for c in rest]).alias("_row"))
-    stay = simhash.near_duplicates(docs, words=3, max_bits=3).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    one = rows.join(stay, "_id").groupBy("_id").agg(F.min("_row").alias("_row"))  # the join's order serves the grouping
-    out = one.unionByName(rows.where(F.col("_id").isNull()))
+    row = F.struct("text", *[F.col(f"`{c}`") for c in rest]).alias("_row")
+    rows = docs.select(F.col("doc_id").alias("_id"), simhash.text_key().alias("_key"), row)
+    stay = simhash.survivors(docs, words=3, max_bits=3).toDF("_id", "_key")
+    one = rows.join(stay, ["_id", "_key"]).groupBy("_id", "_key").agg(F.min("_row").alias("_row"))  # the join's order serves the grouping
+    out = one.drop("_key").unionByName(rows.where(F.col("_id").isNull()).drop("_key"))
     return out.select(*[F.col("_id").alias(c) if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.common import HOT_SHARE, join_hot, stage
@@ -59,15 +59,21 @@ def fingerprint(text: bytes | None, words: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp): the signed 64-bit fingerprint of each whole text."""
+def text_key(text: str = "text") -> Column:
+    """What tells one text from another: a digest, empty for a null text."""
+    return F.coalesce(F.sha2(F.col(text).cast("string").cast("binary"), 256), F.lit(""))
+
+
+def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text: str = "text", keyed: bool = False) -> DataFrame:
+    """(id, fp): the signed 64-bit fingerprint of each whole text; if ``keyed``, its ``text_key`` as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t, words) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64()), *batch.columns[2:]], names=["id", "fp", *batch.schema.names[2:]])
 
-    return docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *([text_key(text).alias("key")] if keyed else []))
+    return rows.mapInArrow(run, "id long, fp long" + (", key string" if keyed else ""))
 
 
 def group_bits(together: np.ndarray, n: int, parts: int) -> list[tuple[int, ...]]:
@@ -309,9 +315,11 @@ def spanning_links(keys: list[np.ndarray], fps: np.ndarray, role: np.ndarray, ma
     return fps[a], fps[b]
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fingerprint, component_id, kept): one row per row of ``docs``."""
-    marked = stage(fingerprints(docs, words, id_column, text), "fingerprints")
+def _judge(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``marked`` (id, fp, ...) with (root, component_id): the component's root fingerprint and its smallest id.
+
+    Where ids repeat, components that differ may have the same smallest id; the root tells them apart.
+    """
     distinct = stage(marked.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct")
     total = marked.count()
     links = near_links(distinct, max_bits)
@@ -321,8 +329,24 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, id_colum
     own = stage(own, "members")
     least = own.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("m"))
     count = distinct.count()
-    own = join_hot(own, least, "root", F.col("m") > max(1000, count * HOT_SHARE)).select("fp", "n", "component_id")
-    out = join_hot(marked, stage(own, "components"), "fp", F.col("n") > max(1000, total * HOT_SHARE))
+    own = join_hot(own, least, "root", F.col("m") > max(1000, count * HOT_SHARE)).select("fp", "n", "root", "component_id")
+    return join_hot(marked, stage(own, "components"), "fp", F.col("n") > max(1000, total * HOT_SHARE))
+
+
+def survivors(docs: DataFrame, words: int = 3, max_bits: int = 3, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, key): which text stays for each component, by its id and ``text_key``.
+
+    Of a component the rows with its smallest id may stay; if these have several texts, the one with the smallest key
+    does. Rows without an id name no survivor.
+    """
+    marked = stage(fingerprints(docs, words, id_column, text, keyed=True), "fingerprints")
+    return _judge(marked, max_bits).where("id = component_id").groupBy("id", "root").agg(F.min("key").alias("key")).select("id", "key")
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, fingerprint, component_id, kept): one row per row of ``docs``."""
+    marked = stage(fingerprints(docs, words, id_column, text), "fingerprints")
+    out = _judge(marked, max_bits)
     return out.select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         (F.col("id") == F.col("component_id")).alias("kept"),

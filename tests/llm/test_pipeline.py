@@ -54,6 +54,19 @@ def test_stages_against_brute_force(spark, corpus):
     assert {r.doc_id: r.ids for r in out} == {r.doc_id: library.encode(r.text) for r in clean}
 
 
+def test_texts_of_one_id_are_judged_apart(spark):
+    rng = random.Random(12)
+    a, b, c, d = (" ".join("".join(rng.choice("abcdefghi") for _ in range(rng.randint(2, 8))) for _ in range(120)) for _ in range(4))
+    rows = [(3, a), (7, a), (7, b), (8, c), (8, d), (9, d), (10, None), (10, ""), (10, " "), (None, c)]
+    docs = spark.createDataFrame([(k, t, "en", f"s{n % 2}", n) for n, (k, t) in enumerate([*rows, (8, c)])], SCHEMA)
+    out = p.near_duplicates(spark, docs, "")
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    blank = [x for x in got if x[0] == 10]
+    assert len(blank) == 1 and not (blank[0][1] or "").strip()  # texts without words are near-duplicates of each other
+    assert [x for x in got if x[0] != 10] == sorted([(3, a), (7, b), (8, c), (8, d), (None, c)], key=str)
+    assert out.columns == docs.columns and {r.n_chars for r in out.where("doc_id = 8").collect()} == {4, 10}
+
+
 def test_run_equals_its_stages(spark, corpus):
     folder = corpus[0]
     docs = spark.read.parquet(f"{folder}/documents.parquet")
