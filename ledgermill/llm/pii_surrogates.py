@@ -2,7 +2,7 @@
 
 1. Rows are cut at the matches of one expression: pieces of text and entities between them.
 2. Each distinct entity of the corpus gets a candidate from a keyed digest (SHA-256): digits become
-   digits, letters letters of the same case and script, separators stay; card numbers keep a valid
+   digits, letters letters of the same case and script (of scripts without an alphabet here: Latin ones), separators stay; card numbers keep a valid
    check digit, addresses stay addresses, names keep gender (by title or ending) and script.
 3. Candidates that two entities share, or that are themselves entities of the corpus, are found by grouping and
    joining, and the losers draw again until none is left. So entities stay distinct, and one entity has one
@@ -31,7 +31,7 @@ from ledgermill.llm.common import HOT_SHARE, join_hot, stage
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Kind -> expression, tried in this order at each place.
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-]++(?:\.[\p{L}\p{N}_%+-]++)*+@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}(?![\p{L}\p{N}])",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}_%+-]++(?:\.[\p{L}\p{M}\p{N}_%+-]++)*+@(?:[\p{L}\p{M}\p{N}-]+\.)+[\p{L}\p{M}]{2,}(?![\p{L}\p{M}\p{N}])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
     "secret": r"(?<![\p{L}\p{N}])(?=[0-9A-Fa-f]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
@@ -51,7 +51,7 @@ _NAME_WORD = r"\p{Lu}(?:\p{L}|(?!['’]s(?!\p{L}))['’-](?=\p{L}))++"
 KINDS["name"] = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_NAME_WORD}(?: {_NAME_WORD}){{0,2}}"
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without this has no entity; it spares most texts the full expression.
-HINT = rf"@\p{{L}}|@\d|\d[ .()-]?\d|[0-9a-f]{{32}}|[0-9A-F]{{32}}|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"@[\p{{L}}\p{{M}}\p{{N}}-]|\d[ .()-]?\d|[0-9a-f]{{32}}|[0-9A-F]{{32}}|(?:{_TITLE})\.? \p{{Lu}}"
 
 #: Attempts after which real values may be drawn, and after which formats grow.
 DENSE, WIDEN = 10, 20
@@ -91,6 +91,12 @@ def _same_shape(text: Column, draw: Column) -> Column:
         ("абвгдежзиклмнопрстуфхцчшэюя", r"^[\p{IsCyrillic}&&\p{Ll}]$"), ("АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", r"^[\p{IsCyrillic}&&\p{Lu}]$"),
         ("αβγδεζηθικλμνξοπρστυφχψω", r"^[\p{IsGreek}&&\p{Ll}]$"), ("ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", r"^[\p{IsGreek}&&\p{Lu}]$"),
         ("人山水木金土日月火田石竹米花雨雪風海空星", r"^\p{IsHan}$"), ("àáâäçèéêëíîïñóôöùúûü", r"^[\p{IsLatin}&&\p{Ll}]$"), ("ÀÁÂÄÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜ", r"^[\p{IsLatin}&&\p{Lu}]$"),
+        ("ابتثجحخدذرزسشصضطعغفقكلمنهوي", r"^[\p{IsArabic}&&[\p{L}\p{M}]]$"), ("אבגדהוזחטיכלמנסעפצקרשת", r"^[\p{IsHebrew}&&[\p{L}\p{M}]]$"),
+        ("가나다라마바사아자차카타하고노도로모보소오조", r"^[\p{IsHangul}&&\p{L}]$"), ("あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよ", r"^[\p{IsHiragana}&&\p{L}]$"),
+        ("アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨ", r"^[ー\p{IsKatakana}&&\p{L}]$"), ("กขคงจฉชซดตถทธนบปผพฟมยรลวสหอ", r"^[\p{IsThai}&&[\p{L}\p{M}]]$"),
+        ("कखगघचछजझटठडढतथदधनपफबभमयरलवशसह", r"^[\p{IsDevanagari}&&[\p{L}\p{M}]]$"),
+        # whatever else is a digit or letter (marks belong to letters)
+        ("0123456789", r"^\p{N}$"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", r"^\p{Lu}$"), ("abcdefghijklmnopqrstuvwxyz", r"^[\p{L}\p{M}]$"),
     )
 
     def one(c: Column, i: Column) -> Column:
@@ -165,6 +171,13 @@ def _candidate(key: str) -> Column:
     return F.concat(drawn, F.substring(F.translate(draw, "abcdef", "012345"), F.lit(1), F.greatest(F.lit(0), longer.cast("int"))))
 
 
+def _readable(entity: Column, surrogate: Column) -> Column:
+    """Whether the entity can still be read in a surrogate: as its beginning or, for mail addresses, by its letters."""
+    letters = lambda c: F.regexp_replace(c, r"[^\p{L}\p{M}]", "")
+    mail = F.col("kind").isin("mailbox", "domain") & (letters(entity) != "")
+    return surrogate.startswith(entity) | (mail & letters(surrogate).contains(letters(entity)))
+
+
 def surrogates(entities: DataFrame, key: str, most: int = 60) -> DataFrame:
     """(kind, entity, surrogate) for distinct (kind, entity): distinct inside a kind, and no entity of the corpus.
 
@@ -179,7 +192,7 @@ def surrogates(entities: DataFrame, key: str, most: int = 60) -> DataFrame:
         drawn = drawn.select("kind", "entity", "attempt", _candidate(key).alias("surrogate"))
         drawn = stage(drawn, "candidates")
         # one entity may keep a candidate (the smallest), unless it is in use or real
-        first = drawn.where("surrogate <> entity").groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
+        first = drawn.where(~_readable(F.col("entity"), F.col("surrogate"))).groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
         real = entities.where(F.lit(attempt < DENSE)).select("kind", F.col("entity").alias("surrogate"))
         used = real if taken is None else real.union(taken)
         kept = stage(first.join(used, ["kind", "surrogate"], "left_anti").select("kind", "entity", "surrogate"), "kept")

@@ -90,3 +90,29 @@ def test_upper_case_secrets_and_possessives(spark):
     assert re.fullmatch(r'TOKEN = "[0-9A-F]{40}"', got[0].text) and "24BE" not in got[0].text
     whole = got[2].text.removeprefix("Mrs. ")
     assert got[1].text == f"Mrs. {whole}'s house; {whole}'s; Ada Byronson"
+
+
+def test_addresses_of_any_script_are_replaced(spark):
+    mails = [
+        "محمد@مثال.com", "김철수@한국.kr", "やまだ@さくら.jp", "ヤマダー@サクラ.jp", "דוד@דוגמה.com", "राम.शर्मा@उदाहरण.com", "สมชาย@ตัวอย่าง.com", "ann김철@site한국.com",
+        "Արամ@օրինակ.am", "١٢٣@مثال.com", "კი@ქართ.ge", "가@나.kr",
+    ]
+    texts = [f"to {m}, please" for m in mails]
+    out = run(spark, texts)
+    assert all(out[k].n_entities == 1 for k in range(len(mails)))
+    new = [re.fullmatch(r"to (\S+), please", out[k].text)[1] for k in range(len(mails))]
+    for old, mail in zip(mails, new):
+        box, domain = old.rsplit(".", 1)[0].split("@")
+        new_box, new_domain = mail.rsplit(".", 1)[0].split("@")
+        assert box not in new_box and domain not in new_domain and len(new_box) >= len(box) and mail.endswith(old.rsplit(".", 1)[1])
+        assert sum(a == b for a, b in zip(box + domain, new_box + new_domain) if a != ".") <= len(box + domain) // 2
+    assert re.fullmatch(r"[\u0621-\u064a]{4}@[\u0621-\u064a]{4}\.com", new[0])
+    assert re.fullmatch(r"[가-힣]{3}@[가-힣]{2}\.kr", new[1])
+    assert re.fullmatch(r"[ぁ-ん]{3}@[ぁ-ん]{3}\.jp", new[2]) and re.fullmatch(r"[ァ-ヶ]{4}@[ァ-ヶ]{3}\.jp", new[3])
+    assert re.fullmatch(r"[a-z]{3}[가-힣]{2}@[a-z]{4}[가-힣]{2}\.com", new[7])
+
+
+def test_a_grown_candidate_never_holds_the_entity(spark):
+    words = [("mailbox", c) for c in "abcdefghijklmnopqrstuvwxyz가나다라마바사아자차카타하고노도로모보소오조"]
+    out = q.surrogates(spark.createDataFrame(words, "kind string, entity string"), "k").collect()
+    assert len(out) == len(words) and not [r for r in out if r.entity in r.surrogate]
