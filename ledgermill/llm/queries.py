@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import compression_quality, ego_join, pfair_mix, pii_surrogates, piece_lattice, ppm_langid, quality_rules, resharding, simhash, warc_writer
+from ledgermill.llm import compression_quality, conversation_repair, ego_join, pfair_mix, pii_surrogates, piece_lattice, ppm_langid, quality_rules, resharding, simhash, warc_writer
 from ledgermill.llm.common import id_crc, table
 from ledgermill.llm.sql import EMBEDDING_LINKS, MIXED, WARC_RECORDS
 
@@ -66,8 +66,23 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, those that lost all rows too."""
+    rows = table(spark, sf_dir, "conversations")
+    summaries, turns = conversation_repair.repair(conversation_repair.damaged(rows))
+    found = summaries.withColumnRenamed("conv", "_a").join(
+        conversation_repair.digests(turns).withColumnRenamed("conv", "_b"), F.col("_a").eqNullSafe(F.col("_b")))
+    out = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_a")), "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(
+        "conv_id", count(F.col("high") - F.col("low") + 1 - F.col("n_distinct")).alias("gaps"),
+        *[count(F.col(c)).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_pii_surrogates, op3_warc_writer, op4_simhash, op5_compression_quality, op6_resharding, op7_ppm_langid,
-    op8_piece_lattice, op9_ego_join, op10_pfair_mix,
+    op8_piece_lattice, op9_ego_join, op10_pfair_mix, op11_conversation_repair,
 )}
 ORACLE = {"op3_warc_writer": WARC_RECORDS, "op9_ego_join": EMBEDDING_LINKS, "op10_pfair_mix": MIXED}
