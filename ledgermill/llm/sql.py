@@ -50,3 +50,31 @@ SELECT r.doc_id, r.source, CAST(i // 32 AS BIGINT) AS block, CAST(i % 32 AS BIGI
   CAST(list_sum(list_transform(l.n, lambda n, j: least(n, (i // 32 // r.a * l.a[j] + plan.before[j]) * 32))) + i % 32 AS BIGINT) AS position
 FROM r JOIN plan ON plan.k = r.k AND plan.nth = (i // 32) % r.a, l
 """
+
+
+def licenses(phrases: list[tuple[list[str], str]], templates: list[tuple[list[str], str]], percent: int, block_words: int) -> str:
+    """Places of phrases, and every template against every block."""
+    listed = lambda rows: ", ".join(f"({k}, {words}, '{label}')" for k, (words, label) in enumerate(rows))
+    return f"""
+WITH t AS (
+  SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')) AS s FROM documents),
+w AS (SELECT row_number() OVER () AS r, doc_id, CASE WHEN s = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(s, ' ') END AS w FROM t),
+p(k, words, label) AS (VALUES {listed(phrases)}),
+c(k, words, label) AS (VALUES {listed(templates)}),
+pos AS (SELECT r, unnest(range(len(w))) AS i, w FROM w),
+places AS (SELECT pos.r, pos.i, p.label FROM pos JOIN p ON pos.w[pos.i + 1] = p.words[1] AND pos.w[pos.i + 1:pos.i + len(p.words)] = p.words),
+base AS (SELECT r, count(*) AS n, min(i) AS first, max(i) AS last FROM places GROUP BY r),
+starts AS (SELECT r, unnest(range(0, len(w), {block_words // 2})) AS i, w FROM w),
+blocks AS (SELECT r, list_distinct(w[i + 1:i + {block_words}]) AS b FROM starts),
+met AS (
+  SELECT r, label, len(list_intersect(b, words)) / len(words) AS share FROM blocks, c
+  WHERE 100 * len(list_intersect(b, words)) >= {percent} * len(words)),
+best AS (SELECT r, max(share) AS share FROM met GROUP BY r),
+base_names AS (SELECT r, string_agg(label, ',' ORDER BY label) AS s FROM (SELECT DISTINCT r, label FROM places) GROUP BY r),
+names AS (SELECT r, string_agg(label, ',' ORDER BY label) AS s FROM (SELECT r, label FROM places UNION SELECT r, label FROM met) GROUP BY r)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, CAST(base.first AS BIGINT) AS first_word,
+  CAST(base.last AS BIGINT) AS last_word, coalesce(base_names.s, '') AS base_labels, coalesce(names.s, '') AS labels,
+  CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(best.share, 0.0) END AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN base_names USING (r) LEFT JOIN names USING (r)
+"""
