@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import compression_quality, conversation_repair, ego_join, license_scan, pfair_mix, pii_surrogates, piece_lattice, ppm_langid, quality_rules, resharding, simhash, warc_writer
+from ledgermill.llm import compression_quality, conversation_repair, ego_join, license_scan, pfair_mix, phrase_mining, pii_surrogates, piece_lattice, ppm_langid, quality_rules, resharding, simhash, warc_writer
 from ledgermill.llm.common import id_crc, table
-from ledgermill.llm.sql import EMBEDDING_LINKS, MIXED, WARC_RECORDS, licenses
+from ledgermill.llm.sql import EMBEDDING_LINKS, MIXED, PHRASES, WARC_RECORDS, licenses
 
 #: A path parameter; the file is never copied.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -85,12 +85,17 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(table(spark, sf_dir, "documents").select("lang", "text"), least=30, top=2000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_pii_surrogates, op3_warc_writer, op4_simhash, op5_compression_quality, op6_resharding, op7_ppm_langid,
-    op8_piece_lattice, op9_ego_join, op10_pfair_mix, op11_conversation_repair, op12_license_scan,
+    op8_piece_lattice, op9_ego_join, op10_pfair_mix, op11_conversation_repair, op12_license_scan, op13_phrase_mining,
 )}
 ORACLE = {"op3_warc_writer": WARC_RECORDS, "op9_ego_join": EMBEDDING_LINKS, "op10_pfair_mix": MIXED} | {
     "op12_license_scan": licenses(
         [(license_scan.words_of(p), label) for p, label in license_scan.PHRASES], [(license_scan.template_words(t), label) for t, label in license_scan.TEMPLATES],
         license_scan.PERCENT, license_scan.BLOCK_WORDS),
+    "op13_phrase_mining": PHRASES,
 }

@@ -78,3 +78,33 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) A
   CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(best.share, 0.0) END AS score
 FROM w LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN base_names USING (r) LEFT JOIN names USING (r)
 """
+
+PHRASES = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces),
+pos AS MATERIALIZED (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT lang, w, i, unnest([1, 2, 3, 4]) AS k FROM pos) WHERE i + k - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS c FROM grams GROUP BY lang, k, g),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, k, g, c, string_split(g, ' ') AS w FROM f WHERE k >= 2 AND c >= 30),
+spans AS (SELECT lang, k, w, c, unnest([1, 2, 3]) AS i FROM cand WHERE k > 2),
+inner_spans AS (SELECT lang, k, w, c, i, unnest([2, 3]) AS m FROM spans),
+inner_of AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(c) AS most FROM inner_spans WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+split AS (SELECT lang, g, w, c, k, unnest([1, 2, 3]) AS cut FROM cand),
+sides AS MATERIALIZED (
+  SELECT lang, g, c, cut, array_to_string(w[1:cut], ' ') AS lg, array_to_string(w[cut + 1:], ' ') AS rg FROM split WHERE cut < k),
+cuts AS (
+  SELECT s.lang, s.g, s.c AS a, s.cut, fl.c AS l, fr.c AS r, CAST(CAST(2000000 AS HUGEINT) * s.c // (fl.c + fr.c) AS BIGINT) AS score
+  FROM sides s JOIN f AS fl ON fl.lang = s.lang AND fl.g = s.lg JOIN f AS fr ON fr.lang = s.lang AND fr.g = s.rg),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+left_over AS (
+  SELECT best.* FROM best LEFT JOIN inner_of ON best.lang = inner_of.lang AND best.g = inner_of.g
+  WHERE most IS NULL OR CAST(100 AS HUGEINT) * most < CAST(80 AS HUGEINT) * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM left_over JOIN n USING (lang) QUALIFY rank <= 2000
+"""
