@@ -155,19 +155,19 @@ class HatTrie:
             self.size -= len(own)
             del self.root[word]
             self.nodes.discard(word)
-            firsts.append(np.full(len(own), word, np.int64))
-            rests.append(np.array(own, np.int64))
-            counts.append(np.array(many, np.int64))
-            if sum(map(len, rests)) > 1 << 16:
+            firsts += [word] * len(own)
+            rests += own
+            counts += many
+            if len(rests) > 1 << 16:
                 yield self._columns(names, firsts, rests, counts)
                 firsts, rests, counts = [], [], []
         if rests:
             yield self._columns(names, firsts, rests, counts)
 
-    def _columns(self, names: np.ndarray, firsts: list, rests: list, counts: list) -> list[np.ndarray]:
-        rest = np.concatenate(rests)
+    def _columns(self, names: np.ndarray, firsts: list[int], rests: list[int], counts: list[int]) -> list[np.ndarray]:
+        rest = np.array(rests, np.int64)
         words = [(rest >> (ID_BITS * (self.depth - 2 - k))) & ((1 << ID_BITS) - 1) for k in range(self.depth - 1)]
-        return [*[names[w].view(np.int64) for w in (np.concatenate(firsts), *words)], np.concatenate(counts)]
+        return [*[names[w].view(np.int64) for w in (np.array(firsts, np.int64), *words)], np.array(counts, np.int64)]
 
 
 def windows(sequence: np.ndarray, starts: int, depth: int, frequent: np.ndarray, pairs: np.ndarray | None) -> list[np.ndarray]:
