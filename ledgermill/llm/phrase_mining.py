@@ -3,7 +3,8 @@
 Words become 64-bit hashes of (language, word); the table of all words proves that no two share one (else another salt is taken), so counts
 are exact. Each task puts its word windows into a HAT-trie: under a shallow trie of word ids lie hash containers, from the rest of a window to its
 count; a container that grows beyond ``BURST`` entries bursts into one for each next word. Beyond ``ENTRIES`` the largest subtrees leave
-the task whole, as sorted runs. Runs are shuffled by the prefix of their phrases and merged there.
+the task whole, as sorted runs. Runs travel as one row a subtree, are shuffled by this prefix and merged there; subtrees of words that make up more than
+a thousandth of all (fewer than a thousand words) are dealt over ``SPLITS`` prefix partitions by their next words.
 
 Two readings keep runs small: pairs first, then windows of three and four words whose pairs all may be frequent. Words and pairs
 that may be frequent are known from bitmaps of a fixed size (``BITS``), which alone are broadcast; a bit set by chance costs a count, never a result.
@@ -38,6 +39,8 @@ CHUNK = 1 << 19  # word positions counted at once
 ID_BITS = 20  # of a word within a task
 BURST, ENTRIES = 4096, 800_000
 SALTS = 64
+HOT_WORD = 1 / 1000
+SPLITS = 64
 
 
 def words(lang: Column, text: Column) -> tuple[Column, Column]:
@@ -183,24 +186,37 @@ def windows(sequence: np.ndarray, starts: int, depth: int, frequent: np.ndarray,
     return [own[at], own[at + 1], own[at + 2], np.where(joined[at + 2], own[at + 3], np.uint64(0))]
 
 
-def count_windows(sequences: DataFrame, depth: int, frequent: np.ndarray, pairs: np.ndarray | None) -> DataFrame:
-    """Sorted runs (w1, w2, ... and n) of the HAT-tries over ``sequences`` (one array of word hashes)."""
-    shared = sequences.sparkSession.sparkContext.broadcast((frequent, pairs))  # of a fixed size
-    names = [f"w{k + 1}" for k in range(depth)] + ["n"]
+def _rows(columns: list[np.ndarray], hot: np.ndarray) -> pa.RecordBatch:
+    """One row for each (first word, split) of a run: the other words and the counts as arrays."""
+    first = columns[0]
+    split = np.where(np.isin(first, hot), (columns[1] ^ (columns[2] if len(columns) > 3 else 0)) & (SPLITS - 1), 0)
+    order = np.lexsort((split, first))  # stable: the run's order inside
+    first, split = first[order], split[order]
+    new = np.flatnonzero(np.concatenate(([True], (first[1:] != first[:-1]) | (split[1:] != split[:-1]))))
+    offsets = pa.array(np.append(new, len(first)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(c[order])) for c in columns[1:]]
+    names = ["w1", "split", *[f"w{k + 2}" for k in range(len(columns) - 2)], "n"]
+    return pa.RecordBatch.from_arrays([pa.array(first[new]), pa.array(split[new]), *lists], names=names)
+
+
+def count_windows(sequences: DataFrame, depth: int, frequent: np.ndarray, pairs: np.ndarray | None, hot: np.ndarray) -> DataFrame:
+    """Windows (w1, split, w2, ... and n) of the HAT-tries over ``sequences`` (one array of word hashes), in the partitions of (w1, split)."""
+    shared = sequences.sparkSession.sparkContext.broadcast((frequent, pairs, hot))  # of a fixed size
+    rest = [f"w{k + 2}" for k in range(depth - 1)] + ["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, (words, both) = HatTrie(depth), shared.value
-        batch_of = lambda columns: pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        trie, (words, both, hot) = HatTrie(depth), shared.value
         for batch in batches:
             values = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             for at in range(0, len(values), CHUNK):
                 part = values[at:at + CHUNK + LONGEST - 1]
                 found = windows(part, min(CHUNK, len(values) - at), depth, words, both)
                 if len(found[0]):
-                    yield from map(batch_of, trie.add(found))
-        yield from map(batch_of, trie.spill(0))
+                    yield from (_rows(r, hot) for r in trie.add(found))
+        yield from (_rows(r, hot) for r in trie.spill(0))
 
-    return sequences.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    runs = sequences.mapInArrow(run, "w1 long, split long, " + ", ".join(f"{c} array<long>" for c in rest))
+    return runs.repartition("w1", "split").select("w1", "split", F.inline(F.arrays_zip(*rest)))
 
 
 def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -226,13 +242,16 @@ def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
     frequent = _bitmap(ones, F.col("id"))
     ids = F.transform("words", lambda w: F.when(_is_word(w), word_id(F.col("lang"), w, salt)).otherwise(F.lit(0).cast("long")))
     sequences = docs.select(F.concat(ids, F.array(F.lit(0).cast("long"))).alias("ids"))  # pieces end with their text
-    total = F.sum("n").alias("n")
-    runs = count_windows(sequences, 2, frequent, None)
-    twos = stage(runs.groupBy("w1", "w2").agg(total).where(F.col("n") >= least), "phrase-pairs")
+    sequences = stage(sequences, "phrase-sequences")  # read twice
+    total, words_in_all = F.sum("n").alias("n"), table.agg(F.sum("n")).first()[0] or 0
+    often = table.where(F.col("n") > words_in_all * HOT_WORD).select("id").toLocalIterator()
+    hot = np.fromiter((r.id for r in often), np.int64)
+    runs = count_windows(sequences, 2, frequent, None, hot)
+    twos = stage(runs.groupBy("w1", "split", "w2").agg(total).where(F.col("n") >= least), "phrase-pairs")
     pairs = _bitmap(twos, _pair_place(F.col("w1"), F.col("w2")))
-    runs = stage(count_windows(sequences, LONGEST, frequent, pairs), "phrase-runs").repartition("w1", "w2", "w3")  # both sums merge in these partitions
-    threes = runs.groupBy("w1", "w2", "w3").agg(total).where(F.col("n") >= least)
-    fours = runs.where("w4 <> 0").groupBy("w1", "w2", "w3", "w4").agg(total).where(F.col("n") >= least)
+    runs = count_windows(sequences, LONGEST, frequent, pairs, hot)  # both sums merge in its partitions
+    threes = runs.groupBy("w1", "split", "w2", "w3").agg(total).where(F.col("n") >= least)
+    fours = runs.where("w4 <> 0").groupBy("w1", "split", "w2", "w3", "w4").agg(total).where(F.col("n") >= least)
     phrases = ones.select(F.array("id").alias("ids"), "n").unionByName(twos.select(F.array("w1", "w2").alias("ids"), "n"))
     phrases = phrases.unionByName(threes.select(F.array("w1", "w2", "w3").alias("ids"), "n")).unionByName(fours.select(F.array("w1", "w2", "w3", "w4").alias("ids"), "n"))
     return stage(phrases, "phrases"), table
