@@ -476,15 +476,28 @@ def bulk_rows(v: Views) -> DataFrame:
         F.when(k % 5 != 0, text(50000 + k % 1000)).alias("sic_code"), F.lit("d").alias("sic_description"), F.lit(None).cast("string").alias("agent1_name"),
         F.lit("Agent 1").alias("agent2_name"), F.lit("1").alias("total_split"), F.lit("1").alias("is_active"), text(k % 2).alias("is_referred"),
         F.when(k % 7 == 0, "31/31/2000").otherwise(F.concat(F.lpad(text(1 + k % 28), 2, "0"), F.lit("/0"), text(1 + k % 9), F.lit("/1999"))).alias("approval_date"),
-        F.when(k % 4 == 0, "2001-02-03").when(k % 4 == 1, "never").alias("closed_date"),
-        F.when(k % 6 != 0, "12.5").alias("agent1_split"), F.lit("x").alias("agent2_split"), (k * 2 + half).alias("line"),
+        F.get(F.array(*[F.lit(d) for d in CLOSED]), k.cast("int") % len(CLOSED)).alias("closed_date"),
+        F.when(k % 6 != 0, "12.5").alias("agent1_split"), F.lit("x").alias("agent2_split"), F.lit("beyond").alias("more"), "half",
     )
 
 
-register("src_merchant_bulk", lambda v: merchant_bulk.add_merchants(v.merchants, bulk_rows(v)), f"""
+#: Notations of one day, one that is none, and nothing.
+CLOSED = ("2001-02-03", "2/3/2001", "3-Feb-2001", "Feb 3, 2001", "2001/2/3", "3 February 2001", "20010203", "2001-02-03 00:00:00", "02/03/2001 12:00:00 AM", "never", None)
+
+
+def bulk_files(v: Views) -> DataFrame:
+    """The rows written as CSV files, first those that count, and read back."""
+    folder = f"{sinks.shared_folder(v.spark)}/merchants-{uuid.uuid4().hex}"
+    rows = bulk_rows(v)
+    for half in (0, 1):
+        rows.filter(F.col("half") == half).drop("half").repartition(4, "mid").write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{folder}/{half}")
+    return merchant_bulk.read_merchant_csv(v.spark, folder)
+
+
+register("src_merchant_bulk", lambda v: merchant_bulk.add_merchants(v.merchants, bulk_files(v)), f"""
 SELECT {MERCHANT_COLUMNS} FROM merchants UNION ALL
 SELECT concat('8000', CAST(k AS VARCHAR)), concat(c_name, ' 0'), CASE WHEN k % 3 <> 0 THEN concat('Corp ', CAST(k % 9 AS VARCHAR)) ELSE 'None' END,
   concat('NATION_', CAST(c_nationkey AS VARCHAR)), 'None', CASE WHEN k % 5 <> 0 THEN substr(CAST(50000 + k % 1000 AS VARCHAR), 1, 4) ELSE 'None' END, 'd',
-  CASE WHEN k % 7 <> 0 THEN make_date(1999, CAST(1 + k % 9 AS INT), CAST(1 + k % 28 AS INT)) END, CASE WHEN k % 4 = 0 THEN DATE '2001-02-03' END, 1, CAST(k % 2 AS INT),
+  CASE WHEN k % 7 <> 0 THEN make_date(1999, CAST(1 + k % 9 AS INT), CAST(1 + k % 28 AS INT)) END, CASE WHEN k % {len(CLOSED)} < 9 THEN DATE '2001-02-03' END, 1, CAST(k % 2 AS INT),
   'None', CAST(CASE WHEN k % 6 <> 0 THEN 12.5 ELSE 0 END AS DECIMAL(5,2)), 'Agent 1', CAST(0 AS DECIMAL(5,2))
 FROM (SELECT *, c_custkey AS k FROM customer) c WHERE k % 2 = 0""")

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.functions import merchant_ids, numbers, text
+from ledgermill.functions import dates, merchant_ids, numbers, text
 from ledgermill.operators import grids
 from ledgermill.operators.layout_specs import (
     HEADERS, SHEET_CANDIDATES, SHEET_LABELS, Layout, layouts,
@@ -23,18 +23,6 @@ from ledgermill.schemas import AMOUNTS, SHEET_KEYS
 SLOTS = ("mid", "dba", *AMOUNTS, "other")
 LINE_COLUMNS = ("path", "sheet_idx", "row_idx", "iso", "date", "mid", "dba", *AMOUNTS, "reject")
 
-# Date notations accepted in the payout date column, each with its shape.
-DATE_FORMATS = {
-    "yyyy-M-d": r"\d{4}-\d{1,2}-\d{1,2}", "yyyy/M/d": r"\d{4}/\d{1,2}/\d{1,2}", "yyyyMMdd": r"\d{8}",
-    "M/d/yyyy": r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yy": r"\d{1,2}/\d{1,2}/\d{2}", "M-d-yyyy": r"\d{1,2}-\d{1,2}-\d{4}",
-    "d-MMM-yyyy": r"\d{1,2}-\p{L}{3}-\d{4}", "d-MMM-yy": r"\d{1,2}-\p{L}{3}-\d{2}",
-    "d MMM yyyy": r"\d{1,2} \p{L}{3} \d{4}", "d MMMM yyyy": r"\d{1,2} \p{L}{4,} \d{4}",
-    "MMM d, yyyy": r"\p{L}{3} \d{1,2}, \d{4}", "MMMM d, yyyy": r"\p{L}{4,} \d{1,2}, \d{4}",
-    "MMM d yyyy": r"\p{L}{3} \d{1,2} \d{4}", "MMMM d yyyy": r"\p{L}{4,} \d{1,2} \d{4}",
-}
-# A time of day behind a date.
-_TIME = r"[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp]\.?[Mm]\.?)?(?:Z|[+-]\d{2}:?\d{2})?$"
-
 REJECT_COLUMNS = "missing_columns"
 REJECT_DUPLICATE = "duplicate_column"
 REJECT_AMOUNT = "unreadable_amount"
@@ -195,12 +183,8 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
             "problem", F.when((F.col("family") == "payout_period") & month.isNull(), REJECT_PERIOD)
             .otherwise(F.col("problem")),
         )
-        day_text = F.regexp_replace(F.trim(F.col("other")["value"]), _TIME, "")
-        ids = ids.withColumn("_day_text", day_text)
-        day = F.lit(None).cast("date")
-        for notation, shape in DATE_FORMATS.items():  # a value is parsed once, by the notation of its shape
-            day = F.when(F.col("_day_text").rlike(f"^{shape}$"), _day(F.col("_day_text"), notation)).otherwise(day)
-        ids = ids.withColumn("_day", day)
+        ids = ids.withColumn("_day_text", F.when(F.col("family") == "payout_period", dates.without_time(F.col("other")["value"])))
+        ids = ids.withColumn("_day", dates.day(F.col("_day_text")))
         day_text, day = F.col("_day_text"), F.col("_day")
         # a line whose filled date says nothing is refused rather than left out
         lost = (F.col("family") == "payout_period") & (day_text != "") & day.isNull() & F.col("mid_text").isNotNull()
@@ -257,13 +241,6 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
     )
 
 
-def _day(value: Column, notation: str) -> Column:
-    """A date; two-digit years from 69 on belong to the last century."""
-    day = F.try_to_date(value, notation)
-    short = notation.endswith("yy") and not notation.endswith("yyyy")
-    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day) if short else day
-
-
 def _grouped(lines: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """One line per statement and key: first name by row order, exact sums, nothing counts as 0.
     Keys with a NULL part are dropped; rejected lines pass through ungrouped."""

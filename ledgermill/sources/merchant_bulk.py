@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.functions import dates
+from ledgermill.sources import csv_cells, csv_lines
+
 # Columns of the file, in order.
 BULK_COLUMNS = (
     "mid", "dba", "corporation", "iso", "iso_referral_type", "sic_code", "sic_description",
@@ -17,7 +20,6 @@ NONE_TEXT_COLUMNS = (
     "agent1_name", "agent2_name",
 )
 ZERO_COLUMNS = ("total_split", "agent1_split", "agent2_split")
-CLOSED_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "d-MMM-yyyy", "MMM d, yyyy", "yyyy/M/d")
 
 
 def clean_merchants(rows: DataFrame) -> DataFrame:
@@ -32,15 +34,15 @@ def clean_merchants(rows: DataFrame) -> DataFrame:
         if name == "approval_date":
             return F.try_to_date(text, "d/M/yyyy")
         if name == "closed_date":
-            return F.coalesce(*[F.try_to_date(text, f) for f in CLOSED_FORMATS])
+            return dates.day(dates.without_time(text))
         return text.try_cast("int") if name in ("is_active", "is_referred") else text
     extra = [c for c in rows.columns if c not in BULK_COLUMNS]
     return rows.select(*[convert(c).alias(c) for c in BULK_COLUMNS], *extra)
 
 
 def add_merchants(merchants: DataFrame, rows: DataFrame) -> DataFrame:
-    """Merchants plus the new ones of the file: known ids are ignored, and of several rows with
-    one id the first ``line`` is taken."""
+    """Merchants plus the new ones of the files: known ids are ignored, and of several rows with
+    one id the first ``line`` is taken. Rows without id, such as those of unreadable files, add nothing."""
     cleaned = clean_merchants(rows).filter("mid IS NOT NULL")
     kept = [c for c in merchants.columns if c != "mid"]
     first = cleaned.groupBy("mid").agg(F.min_by(F.struct(*kept), "line").alias("_m")).select("mid", "_m.*")
@@ -48,8 +50,13 @@ def add_merchants(merchants: DataFrame, rows: DataFrame) -> DataFrame:
     return merchants.unionByName(new.select(*merchants.columns))
 
 
-def read_merchant_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The file as text columns, with ``line`` in file order."""
-    schema = ", ".join(f"{c} string" for c in BULK_COLUMNS)
-    rows = spark.read.schema(schema).option("header", True).option("multiLine", True).csv(path)
-    return rows.withColumn("line", F.monotonically_increasing_id())
+def read_merchant_csv(spark: SparkSession, location: str | list[str]) -> DataFrame:
+    """Records of every CSV file below a folder, behind a glob or in a list, as text columns by position.
+
+    The first record of a file is its header; columns beyond the known ones are left out. ``line`` orders records by path and by their number in the
+    file, which follows from the counts of its splits. A file that is no UTF-8 or ends inside a quote has one row, with the reason in ``problem``.
+    """
+    found = csv_lines.records(csv_lines.read_lines(spark, location)).filter("row_idx <> 0")
+    cells = found.withColumn("cells", F.map_from_entries(F.transform(csv_cells.fields(F.col("record")), lambda c: F.struct(c["col_idx"], c["value"]))))
+    columns = [F.try_element_at("cells", F.lit(k)).alias(c) for k, c in enumerate(BULK_COLUMNS)]
+    return cells.select(*columns, F.struct("path", "row_idx").alias("line"), "problem")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgermill import schemas as S
 from ledgermill.operators import changes, identity, load
 from ledgermill.plans import reports
+from ledgermill.functions import dates
 from ledgermill.sources import csv_cells, merchant_bulk, sinks, workbook_cells
 from ledgermill.sources.registry import parse_registry
 from ledgermill.sources.tables import LedgerTables
@@ -193,6 +194,41 @@ def test_bulk_merchants(spark):
     assert (new[1].sic_code, new[1].corporation, new[1].approval_date, new[1].closed_date, new[1].agent1_split) == ("1234", "None", dt.date(2020, 2, 3), None, Decimal("0.00"))
 
 
+def test_bulk_merchants_from_files(spark, folder):
+    """Splits smaller than a record, order by file and record number, odd notations, unreadable files."""
+    head = ",".join(merchant_bulk.BULK_COLUMNS) + ",more\n"
+    def line(mid, dba="d", closed="", extra=""):
+        return f'{mid},"{dba}",,,,,,,,,1,0,,{closed},,{extra}\n'
+    files = {
+        "a.csv": head + line(1, "known") + "\n" + line(7, "a ""quote"", and\nbreak", '"Feb 3, 2001"', ",beyond") + line(8, "x" * 400, "20010203") + line(7, "later"),
+        "b.csv": head + line(8, "later file") + line(9, "nine", "2024-05-31 00:00:00"), "c.csv": head, "d.csv": head + '10,"open\n',
+    }
+    for name, text in files.items():
+        with open(f"{folder}/{name}", "w") as file:
+            file.write(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    try:
+        rows = merchant_bulk.read_merchant_csv(spark, folder)
+        got = {r.mid: (r.dba, r.closed_date) for r in merchant_bulk.add_merchants(tables(spark).merchants, rows).collect()}
+        assert [r.line.path[-5:] for r in rows.filter("problem is not null").collect()] == ["d.csv"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {k: got.get(k) for k in ("1", "7", "8", "9", "10")} == {
+        "1": got["1"], "7": ("a quote, and\nbreak", dt.date(2001, 2, 3)), "8": ("x" * 400, dt.date(2001, 2, 3)), "9": ("nine", dt.date(2024, 5, 31)), "10": None}
+    assert got["1"][0] == "One"
+
+
+def test_days(spark):
+    cases = {
+        "2001-2-3": "2001-02-03", "20010203": "2001-02-03", "2/3/01": "2001-02-03", "2/3/70": "1970-02-03", "3-feb-2001": "2001-02-03", "3 February 2001": "2001-02-03",
+        "FEBRUARY 3, 2001": "2001-02-03", "Feb 3 2001": "2001-02-03", "2001-02-03T10:00:00Z": "2001-02-03", "2/3/2001 1:00 pm": "2001-02-03", "2001-02-30": None,
+        "3 Sept 2001": None, "1/2/3": None, "never": None, "": None, "2/3/2001x": None, "20011301": None, "Feb-3-2001": None,
+    }
+    df = spark.createDataFrame(list(cases.items()), "t string, d string")
+    assert {r.t: r.d for r in df.select("t", dates.day(dates.without_time(df.t)).cast("string").alias("d")).collect()} == cases
+
+
 def ledger_row(date, mid, house):
     return (date, "Alpha", mid, "d", Decimal(1), Decimal(1), Decimal(house), None, None, None, None, None, None, "me", CLOCK)
 
