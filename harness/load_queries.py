@@ -16,7 +16,7 @@ from harness.statement_queries import DASHED, GARBLED, LAYOUTS, registry
 from harness.views import Views
 from ledgermill.operators import changes, grids, identity, load
 from ledgermill.schemas import LEDGER_COLUMNS
-from ledgermill.sources import csv_cells, merchant_bulk, sinks, workbook_cells
+from ledgermill.sources import csv_cells, keyed_tables, merchant_bulk, sinks, workbook_cells
 from ledgermill.sources.tables import TABLE_SCHEMAS, scan_tables
 
 QUERIES: dict = {}
@@ -30,6 +30,12 @@ def register(name: str, make, sql: str | None) -> None:
         ORACLE[name] = with_views(sql)
 
 
+def register_stored(name: str, make, in_memory: str) -> None:
+    """A stored change: the same rows as the change in memory."""
+    QUERIES[name] = lambda spark, sf_dir: make(Views(spark, sf_dir))
+    ORACLE[name] = ORACLE[in_memory]
+
+
 # --- guards and merchant checks -------------------------------------------------------------
 def claims(v: Views) -> DataFrame:
     """One statement per partner and order month, under the partner's name; months are moved on, so that
@@ -462,6 +468,45 @@ register("snk_ledger_delete_audit", lambda v: v.spark.read.parquet(months_delete
          f"SELECT date, iso, 'auditor' AS deleted_by FROM {STORED_KEYS} WHERE EXISTS (SELECT 1 FROM revenue r WHERE k.date = r.date AND k.iso = r.iso)")
 
 
+register("snk_ledger_delete_refused", lambda v: months_deleted(v)[2],
+         f"SELECT date, iso, 'not_found' AS reason FROM {STORED_KEYS} WHERE NOT EXISTS (SELECT 1 FROM revenue r WHERE k.date = r.date AND k.iso = r.iso)")
+
+
+def stored_ledger(v: Views) -> str:
+    folder = f"{sinks.shared_folder(v.spark)}/edited-{uuid.uuid4().hex}"
+    sinks.append_ledger(v.revenue, folder)
+    return folder
+
+
+register_stored("snk_ledger_update", lambda v: sinks.update_ledger(v.spark, ledger_changes(v), stored_ledger(v)).table, "chg_ledger_update")
+register_stored("snk_ledger_update_refused", lambda v: sinks.update_ledger(v.spark, ledger_changes(v), stored_ledger(v)).refused, "chg_ledger_update_refused")
+register_stored("snk_lines_delete", lambda v: sinks.delete_lines(v.spark, ledger_keys(v), stored_ledger(v)).table, "chg_ledger_delete")
+
+
+def stored_keyed(v: Views, name: str, keys: list[str]) -> tuple:
+    """A table stored by key: its folder and schema."""
+    table, folder = getattr(v, name), f"{sinks.shared_folder(v.spark)}/{name}-{uuid.uuid4().hex}"
+    keyed_tables.write_keyed(table, folder, keys, 16)
+    return v.spark, folder, table.schema
+
+
+def edited(v: Views, name: str, keys: list[str], edits: DataFrame, operation) -> changes.Changed:
+    return keyed_tables.change_keyed(*stored_keyed(v, name, keys), keys, edits, lambda table: operation(table, edits), 16)
+
+
+def numbered(v: Views, name: str, edits: DataFrame, operation) -> changes.Changed:
+    return keyed_tables.change_numbered(*stored_keyed(v, name, ["id"]), lambda table: operation(table, edits), 16)
+
+
+register_stored("snk_merchants_upsert", lambda v: edited(v, "merchants", ["mid"], merchant_changes(v), changes.merchants_upsert).table, "chg_merchants_upsert")
+register_stored("snk_merchants_delete", lambda v: edited(v, "merchants", ["mid"], merchant_deletes(v), changes.merchants_delete).table, "chg_merchants_delete")
+register_stored("snk_merchants_delete_refused", lambda v: edited(v, "merchants", ["mid"], merchant_deletes(v), changes.merchants_delete).refused, "chg_merchants_delete_refused")
+register_stored("snk_payments_upsert", lambda v: edited(v, "payments", ["iso_id", "date"], payment_changes(v), changes.payments_upsert).table, "chg_payments_upsert")
+register_stored("snk_iso_upsert", lambda v: numbered(v, "iso", iso_changes(v), changes.iso_upsert).table, "chg_iso_upsert")
+register_stored("snk_iso_upsert_refused", lambda v: numbered(v, "iso", iso_changes(v), changes.iso_upsert).refused, "chg_iso_upsert_refused")
+register_stored("snk_adjustments_upsert", lambda v: numbered(v, "adjustments", adjustment_changes(v), changes.adjustments_upsert).table, "chg_adjustments_upsert")
+
+
 def bulk_rows(v: Views) -> DataFrame:
     """Text rows of a merchant file: known and new ids, each new one twice, with empty fields."""
     k = F.col("c_custkey")

@@ -23,11 +23,13 @@ RANGES = 256
 
 @dataclass(frozen=True)
 class Changed:
-    """The new table, the refused changes with ``reason``, and audit rows where there are any."""
+    """The new table, the refused changes with ``reason``, audit rows where there are any, and the rows
+    that were added or took another's place where these follow from looking at the whole table."""
 
     table: DataFrame
     refused: DataFrame
     audit: DataFrame | None = None
+    rows: DataFrame | None = None
 
 
 def last_per_key(changes: DataFrame, *keys: str) -> DataFrame:
@@ -74,7 +76,7 @@ def number_rows(rows: DataFrame, start: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _replace(table: DataFrame, rows: DataFrame, *keys: str) -> DataFrame:
+def replace_rows(table: DataFrame, rows: DataFrame, *keys: str) -> DataFrame:
     """Rows of ``table`` whose key is in ``rows`` are replaced by them; other keys are added."""
     kept = table.join(rows.select(*keys), list(keys), "left_anti").select(*table.columns)
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]
@@ -100,7 +102,7 @@ def merchants_upsert(merchants: DataFrame, changes: DataFrame) -> Changed:
     latest = last_per_key(good, "mid")
     referred = F.coalesce(F.col("is_referred").cast("int"), F.lit(0)) != 0
     latest = latest.withColumns({c: F.when(referred, F.col(c)) for c in AGENT_FIELDS})
-    return Changed(_replace(merchants, latest, "mid"), _refuse(changes.filter("mid IS NULL"), MISSING))
+    return Changed(replace_rows(merchants, latest, "mid"), _refuse(changes.filter("mid IS NULL"), MISSING))
 
 
 def merchants_delete(merchants: DataFrame, keys: DataFrame) -> Changed:
@@ -129,7 +131,7 @@ def iso_upsert(isos: DataFrame, changes: DataFrame) -> Changed:
         .unionByName(_refuse(edits.join(isos.select("id"), "id", "left_anti").select(*changes.columns), NOT_FOUND))
     )
     rows = latest.select(*isos.columns).unionByName(inserts.select(*isos.columns))
-    return Changed(_replace(isos, rows, "id"), refused)
+    return Changed(replace_rows(isos, rows, "id"), refused, rows=rows)
 
 
 # --- adjustments and payments ---------------------------------------------------------------
@@ -159,7 +161,7 @@ def adjustments_upsert(adjustments: DataFrame, changes: DataFrame) -> Changed:
         .unionByName(_refuse(second.select(*changes.columns), EXISTS))
     )
     rows = last_per_key(known, "id").select(*adjustments.columns).unionByName(added.select(*adjustments.columns))
-    return Changed(_replace(adjustments, rows, "id"), refused)
+    return Changed(replace_rows(adjustments, rows, "id"), refused, rows=rows)
 
 
 def payments_upsert(payments: DataFrame, changes: DataFrame) -> Changed:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.operators.changes import Changed, iso_month_delete, ledger_delete, ledger_update
 from ledgermill.schemas import LEDGER_COLUMNS, LEDGER_SCHEMA
 
 SALTS = 64
@@ -86,24 +89,41 @@ def rewrite_months(table: DataFrame, touched: DataFrame, path: str) -> None:
     _spread(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "date"
     ).parquet(path)
-
-
     for month in emptied:
         _delete_folder(table.sparkSession, f"{path.rstrip('/')}/date={month.isoformat()}")
 
 
-def delete_partner_months(spark: SparkSession, keys: DataFrame, path: str, audit_path: str, deleted_by: str) -> DataFrame:
-    """Delete the (date, iso) pairs in ``keys`` from the stored ledger and store the audit rows.
+def change_ledger(spark: SparkSession, path: str, keys: DataFrame, make: Callable[[DataFrame], Changed], audit_path: str | None = None) -> Changed:
+    """Apply a batch of edits to the stored ledger and return what came of it, to be read at any time later.
 
-    The audit is written first, so a job that breaks off and runs again finds what is left and
-    adds a second audit only for that. Returns the refused keys.
+    The plan is stored first, below the shared folder: the new lines of the months in ``keys``, what is refused and the audit. Then the audit is
+    appended, and the months are replaced from the plan, which no longer depends on the files it replaces. Other months are neither read nor written.
+    A job that breaks off and runs again finds what is left to do, and adds a second audit only for that.
     """
-    from ledgermill.operators.changes import iso_month_delete
+    stage = stage_in(spark, shared_folder(spark))
+    months = [r["date"] for r in keys.select("date").distinct().collect() if r["date"]]  # calendar months
+    done = make(read_ledger(spark, path).filter(F.col("date").isin(months) if months else F.lit(False)))
+    lines, refused = stage(done.table.select(*LEDGER_COLUMNS), "lines"), stage(done.refused, "refused")
+    audit = None if done.audit is None else stage(done.audit, "audit")
+    if audit is not None and audit_path:
+        audit.write.mode("append").parquet(audit_path)
+    rewrite_months(lines, keys.filter(F.col("date").isNotNull()), path)
+    return Changed(read_ledger(spark, path), refused, audit)
+
+
+def update_ledger(spark: SparkSession, changes: DataFrame, path: str, updated_by: str | None = None, updated_at: dt.datetime | str | None = None) -> Changed:
+    """Edit stored lines (see ``ledger_update``)."""
+    return change_ledger(spark, path, changes, lambda ledger: ledger_update(ledger, changes, updated_by, updated_at))
 
-    done = iso_month_delete(read_ledger(spark, path), keys, deleted_by)
-    done.audit.write.mode("append").parquet(audit_path)
-    rewrite_months(done.table, keys, path)
-    return done.refused
+
+def delete_lines(spark: SparkSession, keys: DataFrame, path: str) -> Changed:
+    """Delete stored lines by (date, iso, mid)."""
+    return change_ledger(spark, path, keys, lambda ledger: ledger_delete(ledger, keys))
+
+
+def delete_partner_months(spark: SparkSession, keys: DataFrame, path: str, audit_path: str, deleted_by: str) -> DataFrame:
+    """Delete the (date, iso) pairs in ``keys`` from the stored ledger and store the audit rows. Returns the refused keys."""
+    return change_ledger(spark, path, keys, lambda ledger: iso_month_delete(ledger, keys, deleted_by), audit_path).refused
 
 
 def write_version(table: DataFrame, root: str) -> str:
