@@ -10,13 +10,15 @@
 4. Rows are put together again from pieces and surrogates.
 
 Everything is a DataFrame expression. Mail addresses are drawn in two parts, so addresses that share
-a domain still do; names word by word, so "Mrs. Ada Byron" and "Mrs. Byron" still share a surname, and
-later mentions of the full name without title follow in the same text.
+a domain still do; names word by word, so "Mrs. Ada Byron" and "Mrs. Byron" still share a surname. A surname that a title
+announces anywhere in a text is a name at all its mentions there, with the capitalised word or two before it as given names (of two, the first
+must not begin a sentence) and the gender of its title.
 
-A corpus that uses up a format widens it: see ``surrogates``.
+A corpus that uses up a format widens it: see ``surrogates``. Texts are searched once; they are staged with what was found (one copy of the table).
+The key is part of the plan: give a key derived for the run, not the secret itself, where plans or event logs are kept.
 
 Defined results: a null text stays null with no entities, an empty one empty. Repeated rows get equal results.
-Text without entities is returned as it is.
+Text without entities is returned as it is. A column of the input named like ``count`` gives way to it.
 """
 
 from __future__ import annotations
@@ -53,8 +55,8 @@ ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without this has no entity; it spares most texts the full expression.
 HINT = rf"@[\p{{L}}\p{{M}}\p{{N}}-]|\d[ .()-]?\d|[0-9a-f]{{32}}|[0-9A-F]{{32}}|(?:{_TITLE})\.? \p{{Lu}}"
 
-#: Attempts after which real values may be drawn, and after which formats grow.
-DENSE, WIDEN = 10, 20
+#: Attempts after which formats grow.
+WIDEN = 6
 
 #: Syllables that names are drawn from, by script.
 SYLLABLES = {
@@ -178,31 +180,28 @@ def _readable(entity: Column, surrogate: Column) -> Column:
     return surrogate.startswith(entity) | (mail & letters(surrogate).contains(letters(entity)))
 
 
-def surrogates(entities: DataFrame, key: str, most: int = 60) -> DataFrame:
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, entity, surrogate) for distinct (kind, entity): distinct inside a kind, and no entity of the corpus.
 
-    Where the corpus leaves a format hardly a free value, ``DENSE`` attempts later a surrogate may be another real
-    value (never the entity's own), and from attempt ``WIDEN`` on it gets more digits.
+    Where the corpus leaves a format hardly a free value, surrogates get longer: from attempt ``WIDEN`` on by one digit every other attempt
+    (names by syllables, mailboxes and domains sooner), so the draws come to an end whatever the corpus holds.
     """
     todo = stage(entities.withColumn("attempt", F.lit(0)), "entities")
-    taken = None
+    used = entities.select("kind", F.col("entity").alias("surrogate"))
     done = []
-    for attempt in range(most):
+    while True:
         drawn = todo.withColumn("_draw", _draw(key, F.col("kind"), F.col("entity"), F.col("attempt")))
         drawn = drawn.select("kind", "entity", "attempt", _candidate(key).alias("surrogate"))
         drawn = stage(drawn, "candidates")
         # one entity may keep a candidate (the smallest), unless it is in use or real
         first = drawn.where(~_readable(F.col("entity"), F.col("surrogate"))).groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
-        real = entities.where(F.lit(attempt < DENSE)).select("kind", F.col("entity").alias("surrogate"))
-        used = real if taken is None else real.union(taken)
         kept = stage(first.join(used, ["kind", "surrogate"], "left_anti").select("kind", "entity", "surrogate"), "kept")
         done.append(kept)
-        taken = kept.select("kind", "surrogate") if taken is None else taken.union(kept.select("kind", "surrogate"))
+        used = used.union(kept.select("kind", "surrogate"))
         left = drawn.join(kept.select("kind", "entity"), ["kind", "entity"], "left_anti")
         todo = stage(left.select("kind", "entity", (F.col("attempt") + 1).alias("attempt")), "again")
         if todo.isEmpty():
             return reduce(DataFrame.union, done)
-    raise ValueError(f"no free surrogate after {most} attempts for {todo.count()} entities")
 
 
 def _kind(entity: Column) -> Column:
@@ -218,7 +217,38 @@ def _gender(title: Column) -> Column:
     return F.when(bare.isin(*TITLES["m"]), "m").when(bare.isin(*TITLES["f"]), "f").otherwise("n")
 
 
-def _parts(entity: Column, kind: Column) -> Column:
+_TITLED = rf"^(?:{_TITLE})\.? "
+
+
+def _known_names(found: Column) -> Column:
+    """Array of (surname, given, gender) of the names that a title announces."""
+    def one(entity: Column) -> Column:
+        words = F.split(entity, " ")
+        given = F.array_join(F.slice(words, F.lit(2), F.size(words) - 2), " ")
+        return F.struct(F.element_at(words, -1).alias("surname"), given.alias("given"), _gender(F.get(words, F.lit(0))).alias("gender"))
+
+    return F.transform(F.filter(found, lambda e: e.rlike(_TITLED)), one)
+
+
+def _mentions(known: Column) -> Column:
+    """The expression of every entity, and of the known names without title: whole, or a surname with given names."""
+    full = F.filter(F.transform(known, lambda k: F.concat_ws(" ", k["given"], k["surname"])), lambda n: n.contains(" "))
+    longest_first = F.transform(F.sort_array(F.transform(F.array_distinct(full), lambda n: F.struct((-F.length(n)).alias("size"), n.alias("name")))), lambda x: x["name"])
+    surnames = F.array_join(F.array_distinct(F.transform(known, lambda k: k["surname"])), "|")
+    loose = F.concat(F.lit(rf"(?:(?<!^)(?<![.!?\n] )(?<!\n){_NAME_WORD} )?(?:{_NAME_WORD} )?(?:"), surnames, F.lit(")"))
+    return F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(F.concat(longest_first, F.array(loose)), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+
+
+def _gender_of(entity: Column, known: Column) -> Column:
+    """The gender of a mention without title: that of the same name with one, else of the first such surname."""
+    words = F.split(entity, " ")
+    given = F.array_join(F.slice(words, F.lit(1), F.size(words) - 1), " ")
+    family = F.filter(known, lambda k: k["surname"] == F.element_at(words, -1))
+    same = F.filter(family, lambda k: k["given"] == given)
+    return F.coalesce(F.get(same, F.lit(0))["gender"], F.get(family, F.lit(0))["gender"], F.lit("n"))
+
+
+def _parts(entity: Column, kind: Column, known: Column) -> Column:
     """An entity's drawn parts: array of (kind, entity), with text that stays as kind null."""
     part = lambda k, e: F.struct(k.alias("kind"), e.alias("entity"))
     stays = F.lit(None).cast("string")
@@ -228,50 +258,46 @@ def _parts(entity: Column, kind: Column) -> Column:
         part(stays, F.regexp_extract(entity, r"(\.[^.@]*)$", 1)),
     )
     words = F.split(entity, " ")
-    gender = _gender(F.get(words, F.lit(0)))
-    names = F.flatten(F.transform(words, lambda w, i: F.when(i == 0, F.array(part(stays, w))).otherwise(F.array(
-        part(stays, F.lit(" ")), part(F.when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("given-"), gender)), w)))))
+    titled = entity.rlike(_TITLED)
+    gender = F.when(titled, _gender(F.get(words, F.lit(0)))).otherwise(_gender_of(entity, known))
+    names = F.flatten(F.transform(words, lambda w, i: F.when((i == 0) & titled, F.array(part(stays, w))).otherwise(F.array(
+        part(stays, F.when(i == 0, "").otherwise(" ")), part(F.when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("given-"), gender)), w)))))
     return F.when(kind == "email", mail).when(kind == "name", names).otherwise(F.array(part(kind, entity)))
 
 
 def replace(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities") -> DataFrame:
     """``docs`` with personal data replaced in ``text``; ``count`` names a column for the number of entities."""
-    names = docs.columns
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(text).cast("string").alias("_text"))
+    names = [c for c in docs.columns if c != count]
+    rest = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names) if c != text]
+    own = docs.select(F.struct(F.lit(0).alias("c"), *rest).alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
     some = F.coalesce(F.col("_text").rlike(HINT), F.lit(False))
     matches = F.when(some, F.regexp_extract_all("_text", F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
-    cut = own.withColumn("_found", matches).withColumn("_id", F.monotonically_increasing_id())
-    hits = stage(cut.where(F.size("_found") > 0).withColumn("_pieces", F.split("_text", ANY, -1)), "pii-hits")  # fixes the ids
-    parts = hits.select("_id", F.posexplode("_found").alias("_at", "_entity")).withColumn("_kind", _kind(F.col("_entity")))
-    parts = parts.select("_id", "_at", F.posexplode(_parts(F.col("_entity"), F.col("_kind"))).alias("_nth", "_part")).select("_id", "_at", "_nth", "_part.*")
+    cut = stage(own.withColumn("_found", matches), "pii-texts")  # the only search of all texts
+    hits = cut.where(F.size("_found") > 0).withColumn("_known", _known_names(F.col("_found")))
+    pattern = F.when(F.size("_known") > 0, _mentions(F.col("_known"))).otherwise(F.lit(ANY))
+    hits = hits.withColumn("_pattern", pattern).withColumn("_found", F.when(F.size("_known") > 0, F.regexp_extract_all("_text", F.col("_pattern"), 0)).otherwise(F.col("_found")))
+    pieces = F.when(F.size("_known") > 0, F.split("_text", F.col("_pattern"), -1)).otherwise(F.split("_text", ANY, -1))
+    hits = stage(hits.select(F.monotonically_increasing_id().alias("_id"), "_row", "_found", "_known", pieces.alias("_pieces")), "pii-hits")  # fixes the ids
+    parts = hits.select("_id", "_known", F.posexplode("_found").alias("_at", "_entity")).withColumn("_kind", _kind(F.col("_entity")))
+    parts = parts.select("_id", "_at", F.posexplode(_parts(F.col("_entity"), F.col("_kind"), F.col("_known"))).alias("_nth", "_part")).select("_id", "_at", "_nth", "_part.*")
     parts = stage(parts, "pii-parts")
     drawn = parts.where(F.col("kind").isNotNull())
     totals = stage(drawn.groupBy("kind", "entity").agg(F.count(F.lit(1)).alias("n")), "pii-entities")
     all_parts = parts.count()
     known = stage(surrogates(totals.select("kind", "entity"), key).join(totals, ["kind", "entity"]).withColumn("_key", F.concat_ws("\x1f", "kind", "entity")).select("_key", "surrogate", "n"), "pii-surrogates")
-    replaced = join_hot(drawn.withColumn("_key", F.concat_ws("\x1f", "kind", "entity")).select("_id", "_at", "_nth", "_key", "entity", "kind"), known, "_key", F.col("n") > max(1000, all_parts * HOT_SHARE))
-    stays = parts.where(F.col("kind").isNull()).select("_id", "_at", "_nth", F.col("entity").alias("old"), F.col("entity").alias("new"), F.lit(0).alias("named"))
-    named = F.when(F.col("kind").startswith("given-") | (F.col("kind") == "surname"), 1).otherwise(0)
-    both = replaced.select("_id", "_at", "_nth", F.col("entity").alias("old"), F.col("surrogate").alias("new"), named.alias("named")).union(stays)
+    replaced = join_hot(drawn.withColumn("_key", F.concat_ws("\x1f", "kind", "entity")).select("_id", "_at", "_nth", "_key"), known, "_key", F.col("n") > max(1000, all_parts * HOT_SHARE))
+    stays = parts.where(F.col("kind").isNull()).select("_id", "_at", "_nth", F.col("entity").alias("new"))
+    both = replaced.select("_id", "_at", "_nth", F.col("surrogate").alias("new")).union(stays)
     # first the parts of an entity, then a row's entities: as many as its text holds
-    of = lambda field: F.transform(F.filter("_parts", lambda x: x["named"] == 1), lambda x: x[field])
-    entities = both.repartition("_id").groupBy("_id", "_at").agg(F.sort_array(F.collect_list(F.struct("_nth", "old", "new", "named"))).alias("_parts"))
-    full = F.struct((-F.length(F.array_join(of("old"), " "))).alias("rank"), F.array_join(of("old"), " ").alias("old"), F.array_join(of("new"), " ").alias("new"))
-    entities = entities.select(
-        "_id", F.struct("_at", F.lit(1).alias("_then"), F.array_join(F.transform("_parts", lambda x: x["new"]), "").alias("text")).alias("_one"),
-        F.when(F.size(of("old")) > 1, full).alias("_full"),
-    )
-    rows = entities.groupBy("_id").agg(F.collect_list("_one").alias("_new"), F.sort_array(F.collect_set("_full")).alias("_names"))
+    entities = both.repartition("_id").groupBy("_id", "_at").agg(F.sort_array(F.collect_list(F.struct("_nth", "new"))).alias("_parts"))
+    entities = entities.select("_id", F.struct("_at", F.lit(1).alias("_then"), F.array_join(F.transform("_parts", lambda x: x["new"]), "").alias("text")).alias("_one"))
+    rows = entities.groupBy("_id").agg(F.collect_list("_one").alias("_new"))
     whole = hits.join(rows, "_id")
     # piece k stands before entity k
     pieces = F.transform("_pieces", lambda piece, at: F.struct(at.alias("_at"), F.lit(0).alias("_then"), piece.alias("text")))
     built = F.array_join(F.transform(F.sort_array(F.concat(pieces, F.col("_new"))), lambda x: x["text"]), "")
-    # full names (two words or more) that come again without title, the longest first
-    again = F.aggregate(
-        "_names", built, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), x["old"], F.lit(r"(?![\p{L}\p{N}])")), x["new"]))
-    whole = whole.withColumn("_out", again)
-    changed = whole.select("_row", F.col("_out").alias("_text"), F.size("_found").cast("long").alias("_n"))
+    changed = whole.select("_row", built.alias("_text"), F.size("_found").cast("long").alias("_n"))
     same = cut.where(F.size("_found") == 0).select("_row", "_text", F.lit(0).cast("long").alias("_n"))
     out = changed.union(same)
-    columns = [F.col("_text").alias(text) if c == text else F.col(f"_row.`{c}`").alias(c) for c in names]
+    columns = [F.col("_text").alias(text) if c == text else F.col(f"_row.c{k}").alias(c) for k, c in enumerate(names)]
     return out.select(*columns, *([F.col("_n").alias(count)] if count else []))

@@ -44,6 +44,59 @@ def test_names_keep_gender_script_and_reference(spark):
     assert re.fullmatch(r"господин [А-Я][а-я]+н [А-Я][а-я]+", got[2].text) and "Иванов" not in got[2].text
 
 
+def test_mentions_without_title(spark):
+    got = run(spark, [
+        "Contact John Smith at Main Street; Mr Smith.", "Dr. Mary Ann Lee came. Mary Ann Lee left, Lee's friend John Paul Lee too.\nThen Lee.", "Smith and John Smith, no title here", "Ms Smith, John Smith",
+    ])
+    given, surname = re.fullmatch(r"Contact (\w+) (\w+) at Main Street; Mr \2\.", got[0].text).groups()
+    assert given.endswith("n") and (given, surname) != ("John", "Smith") and got[0].n_entities == 2
+    drawn = re.fullmatch(r"Dr\. (\w+) (\w+) (\w+) came\. \1 \2 \3 left, \3's friend (\w+) (\w+) \3 too\.\n(\w+) \3\.", got[1].text).groups()
+    assert not {"Mary", "Ann", "Lee", "John", "Paul"} & set(drawn)
+    assert got[2].text == "Smith and John Smith, no title here"
+    assert re.fullmatch(rf"Ms {surname}, \w+na {surname}", got[3].text)
+
+
+def test_no_surrogate_is_a_real_value(spark):
+    words = [("ssn", str(k)) for k in range(10)] + [("phone", f"+1 {k:02d}") for k in range(100)] + [("given-m", n) for n in ("Ann", "Bob")]
+    out = q.surrogates(spark.createDataFrame(words, "kind string, entity string"), "k").collect()
+    assert {(r.kind, r.entity) for r in out} == set(words) and len({(r.kind, r.surrogate) for r in out}) == len(words)
+    assert not {(r.kind, r.surrogate) for r in out} & set(words)
+
+
+def brute_force(texts, surrogate):
+    """Entity by entity with the module's expressions, names by word; ``surrogate`` maps (kind, entity)."""
+    import regex
+
+    kinds = {k: regex.compile(rf"(?:{p})") for k, p in q.KINDS.items()}
+    every = regex.compile("|".join(f"(?:{p})" for p in q.KINDS.values()))
+    out = []
+    for text in texts:
+        def new(found):
+            entity = found.group()
+            kind = next((k for k, p in kinds.items() if p.fullmatch(entity)), "name")
+            if kind == "email":
+                box, domain = entity.split("@", 1)
+                domain, top = domain.rsplit(".", 1)
+                return f"{surrogate[('mailbox', box)]}@{surrogate[('domain', domain)]}.{top}"
+            if kind != "name":
+                return surrogate[kind, entity]
+            title, *names = entity.split(" ")
+            gender = next(g for g, ts in q.TITLES.items() if title.rstrip(".") in ts)
+            return " ".join([title, *[surrogate[f"given-{gender}", n] for n in names[:-1]], surrogate["surname", names[-1]]])
+        out.append(every.sub(new, text))
+    return out
+
+
+def test_equals_brute_force(spark):
+    texts = [
+        "mail a@b.com and c.d@b.com, Mrs. Ada Byron", "call +1 (743) 555-3824; Mr Petersen", "193.195.198.107 a@b.com Dr. Byron", "123-45-6789 and 123-45-6789", "x@y.z.org +1 (743) 555-3824", "none",
+    ]
+    entities = {("mailbox", "a"), ("domain", "b"), ("mailbox", "c.d"), ("given-f", "Ada"), ("surname", "Byron"), ("phone", "+1 (743) 555-3824"), ("surname", "Petersen"), ("ip", "193.195.198.107"), ("ssn", "123-45-6789"), ("mailbox", "x"), ("domain", "y.z")}
+    drawn = {(r.kind, r.entity): r.surrogate for r in q.surrogates(spark.createDataFrame(sorted(entities), "kind string, entity string"), "k").collect()}
+    got = run(spark, texts)
+    assert [got[k].text for k in range(len(texts))] == brute_force(texts, drawn)
+
+
 def test_clean_and_odd_rows_stay(spark):
     clean = ["Version 2.0 of 2024-01-05 costs 1,234,567.89 at 12:30", "", " \n", "Apache License, Version 2.0. 3rd", "x" * 200_000]
     got = run(spark, [*clean, None])
@@ -70,7 +123,7 @@ def test_collisions_are_drawn_again(spark):
 
 def test_many_entities_in_one_text_and_clashing_columns(spark):
     text = " ".join(f"u{k % 50}@a.example.org" for k in range(3000))
-    docs = spark.createDataFrame([(1, text), (1, text)], DOCS).withColumns({"_text": F.lit("t"), "_id": F.lit(9), "kind": F.lit("x")})
+    docs = spark.createDataFrame([(1, text), (1, text)], DOCS).withColumns({"_text": F.lit("t"), "_id": F.lit(9), "kind": F.lit("x"), "n_entities": F.lit("clash")})
     out = q.replace(docs, "k").collect()
     assert len(out) == 2 and out[0] == out[1] and out[0].n_entities == 3000 and out[0].kind == "x" and out[0]["_id"] == 9
     assert len(set(out[0].text.split())) == 50
