@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from harness import statements as W
 from harness.oracle_views import with_views
+from harness.report_queries import AS_OF, ORACLE as REPORTS
 from harness.statement_queries import DASHED, GARBLED, LAYOUTS, registry
 from harness.views import Views
 from ledgermill.operators import changes, grids, identity, load
+from ledgermill.plans import reports
 from ledgermill.schemas import LEDGER_COLUMNS
 from ledgermill.sources import csv_cells, keyed_tables, merchant_bulk, sinks, workbook_cells
 from ledgermill.sources.tables import TABLE_SCHEMAS, scan_tables
@@ -498,6 +500,18 @@ register_stored("snk_ledger_update_refused", lambda v: sinks.update_ledger(v.spa
 register_stored("snk_lines_delete", lambda v: sinks.delete_lines(v.spark, ledger_keys(v), stored_ledger(v)).table, "chg_ledger_delete")
 
 
+def logged_changes(v: Views) -> DataFrame:
+    """The report over a stored ledger with a change log."""
+    folder = f"{sinks.shared_folder(v.spark)}/logged-{uuid.uuid4().hex}"
+    sinks.append_ledger(v.revenue, f"{folder}/revenue", f"{folder}/log")
+    tables = type(v.tables)(**{**v.tables.__dict__, "revenue": sinks.read_ledger(v.spark, f"{folder}/revenue")})
+    return reports.recent_changes(tables, AS_OF, 60, sinks.read_change_log(v.spark, f"{folder}/log"))
+
+
+QUERIES["rpt_recent_changes_logged"] = lambda spark, sf_dir: logged_changes(Views(spark, sf_dir))
+ORACLE["rpt_recent_changes_logged"] = REPORTS["rpt_recent_changes"]
+
+
 def stored_keyed(v: Views, name: str, keys: list[str]) -> tuple:
     """A table stored by key: its folder and schema."""
     table, folder = getattr(v, name), f"{sinks.shared_folder(v.spark)}/{name}-{uuid.uuid4().hex}"

@@ -425,8 +425,11 @@ def agent_lines(t: LedgerTables, agent: str | None = None, date: DateLike | None
 CHANGE_WINDOWS = (1, 7, 14, 30, 45, 60, 90, 120)
 
 
-def recent_changes(t: LedgerTables, as_of: str | dt.datetime, days: int = 1) -> DataFrame:
-    """Ledger rows touched within ``days`` before ``as_of``, newest first."""
+def recent_changes(t: LedgerTables, as_of: str | dt.datetime, days: int = 1, log: DataFrame | None = None) -> DataFrame:
+    """Ledger rows touched within ``days`` before ``as_of``, newest first.
+
+    With the change log of the stored ledger only its days since then and the months they name are read.
+    """
     require(as_of=as_of)
     if days not in CHANGE_WINDOWS:
         raise ValueError(f"days must be one of {CHANGE_WINDOWS}")
@@ -434,8 +437,13 @@ def recent_changes(t: LedgerTables, as_of: str | dt.datetime, days: int = 1) ->
     since = F.lit(str(clock - dt.timedelta(days=days))).cast("timestamp_ntz")
     kept = [c for c in LEDGER_COLUMNS if c not in ("updated_by",)]
     doubles = {*LINE_MONEY, *[c for c in AGENT_COLUMNS if not c.endswith("name")]}
+    rows = t.revenue
+    if log is not None:
+        first = F.lit(str((clock - dt.timedelta(days=days)).date())).cast("date")
+        months = [r["date"] for r in log.filter(F.col("changed_on") >= first).select("date").distinct().collect() if r["date"]]  # calendar months
+        rows = rows.filter(F.col("date").isin(months) if months else F.lit(False))
     return (
-        t.revenue.filter(F.col("updated_at") >= since)
+        rows.filter(F.col("updated_at") >= since)
         .orderBy(F.desc("updated_at"), "date", "iso", "mid")
         .select(*[F.col(c).cast("double").alias(c) if c in doubles else F.col(c) for c in kept])
     )

@@ -68,8 +68,21 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange(*keys).sortWithinPartitions("date", "mid")
 
 
-def append_ledger(rows: DataFrame, path: str) -> None:
-    """Add rows as one commit; the ledger is partitioned by ``date``."""
+def log_changes(rows: DataFrame, log_path: str) -> None:
+    """Note which months have lines stamped on which day; the log is partitioned by day. It is written before the lines, so it never misses
+    one; a month noted in vain costs a reading only."""
+    days = rows.filter("updated_at IS NOT NULL").select(F.to_date("updated_at").alias("changed_on"), "date").distinct()
+    days.repartition("changed_on").write.mode("append").partitionBy("changed_on").parquet(log_path)
+
+
+def read_change_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return spark.read.schema("date date, changed_on date").parquet(log_path)
+
+
+def append_ledger(rows: DataFrame, path: str, log_path: str | None = None) -> None:
+    """Add rows as one commit; the ledger is partitioned by ``date``. With ``log_path`` the change log is kept."""
+    if log_path:
+        log_changes(rows, log_path)
     _spread(rows.select(*LEDGER_COLUMNS)).write.mode("append").partitionBy("date").parquet(path)
 
 
@@ -111,8 +124,10 @@ def change_ledger(spark: SparkSession, path: str, keys: DataFrame, make: Callabl
     return Changed(read_ledger(spark, path), refused, audit)
 
 
-def update_ledger(spark: SparkSession, changes: DataFrame, path: str, updated_by: str | None = None, updated_at: dt.datetime | str | None = None) -> Changed:
-    """Edit stored lines (see ``ledger_update``)."""
+def update_ledger(spark: SparkSession, changes: DataFrame, path: str, updated_by: str | None = None, updated_at: dt.datetime | str | None = None, log_path: str | None = None) -> Changed:
+    """Edit stored lines (see ``ledger_update``). With ``log_path`` the change log is kept."""
+    if log_path and updated_at is not None:
+        log_changes(changes.select("date", F.lit(str(updated_at)).cast("timestamp_ntz").alias("updated_at")), log_path)
     return change_ledger(spark, path, changes, lambda ledger: ledger_update(ledger, changes, updated_by, updated_at))
 
 

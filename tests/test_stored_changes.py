@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from ledgermill import schemas as S
 from ledgermill.operators import changes
+from ledgermill.plans import reports
 from ledgermill.sources import keyed_tables, sinks
+from ledgermill.sources.tables import LedgerTables
 
 CLOCK = dt.datetime(2024, 6, 1, 12)
 MAY, JUNE = dt.date(2024, 5, 1), dt.date(2024, 6, 1)
@@ -50,6 +52,24 @@ def test_stored_edits_touch_their_months_only(spark, folder):
     assert [(r.mid, r.reason) for r in left.refused.collect()] == [("5", "not_found")]
 
 
+def test_change_log_names_the_months_to_read(spark, folder):
+    def stamped(date, mid, at):
+        return (*line(date, mid, 5)[:-1], at)
+    path, log = f"{folder}/revenue", f"{folder}/log"
+    rows = [stamped(MAY, "1", dt.datetime(2024, 5, 20)), stamped(JUNE, "2", dt.datetime(2024, 6, 20, 1)), stamped(dt.date(2024, 7, 1), "3", dt.datetime(2024, 7, 2)), stamped(JUNE, "4", None)]
+    sinks.append_ledger(spark.createDataFrame(rows, S.LEDGER_SCHEMA), path, log)
+    edits = spark.createDataFrame([line(MAY, "1", 50)], S.LEDGER_SCHEMA).withColumns({"seq": F.lit(1), "old_mid": F.col("mid")}).drop("updated_by", "updated_at")
+    sinks.update_ledger(spark, edits, path, "editor", dt.datetime(2024, 7, 1, 8), log)
+    tables = LedgerTables(**{f: None for f in LedgerTables.__dataclass_fields__} | {"revenue": sinks.read_ledger(spark, path)})
+    seen = sinks.read_change_log(spark, log)
+    got = reports.recent_changes(tables, "2024-07-02 12:00:00", 7, seen)
+    assert [r.mid for r in got.collect()] == ["3", "1"]
+    assert [r.mid for r in reports.recent_changes(tables, "2024-07-02 12:00:00", 7).collect()] == ["3", "1"]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "PartitionFilters: [date" in plan and "2024-06-01" not in plan.split("PartitionFilters")[1].split("]")[0]
+    assert reports.recent_changes(tables, "2030-01-01 00:00:00", 1, seen).count() == 0
+
+
 def test_keyed_table_rewrites_touched_buckets(spark, folder):
     table = spark.createDataFrame([(str(k), "old", 0, None, None, None, None) for k in range(200)], MERCHANTS)
     path, keys = f"{folder}/merchants", ["mid"]
