@@ -135,8 +135,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, held_out: Column, **how) -> DataFrame:
-    """(doc_id, held_out, score, predicted); only rows that are not ``held_out`` teach."""
+    """(doc_id, held_out, score, predicted); only rows that are not ``held_out`` teach. Where that is null (no id), a row is not held out and teaches nothing."""
     taught = labels.select("doc_id", "quality").where(~held_out).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     model = fit(docs.select("doc_id", "text"), taught, **how)
-    out = score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    out = score(docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out")), model)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -17,12 +17,13 @@ def corpus(n=600):
 
 def test_held_out_accuracy_and_odd_rows(spark):
     rows, labels = corpus()
-    docs = spark.createDataFrame([*rows, (1000, None), (1001, ""), (1002, rows[1][1] * 500), (2, rows[2][1])], DOCS)
+    docs = spark.createDataFrame([*rows, (1000, None), (1001, ""), (1002, rows[1][1] * 500), (2, rows[2][1]), (None, rows[3][1])], DOCS)
     docs = docs.withColumn("score", F.lit("own")).withColumn("difference", F.lit(1))
     table = spark.createDataFrame([*labels, (3, None), (9999, 1)], "doc_id long, quality int")
     out = q.classify(docs, table, id_crc() % 3 == 1).collect()
-    assert len(out) == len(rows) + 4 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
+    assert len(out) == len(rows) + 5 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
     held = [r for r in out if r.held_out and r.doc_id < 1000]
+    assert [(r.held_out, r.predicted) for r in out if r.doc_id is None] == [(False, 1)]
     assert len(held) > 150 and sum(r.predicted == (r.doc_id % 5 != 0) for r in held) / len(held) > 0.97
     assert next(r for r in out if r.doc_id == 1002).predicted == 1
 
