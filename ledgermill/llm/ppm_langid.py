@@ -179,6 +179,6 @@ def predict(docs: DataFrame, names: list[str], tables: Tables | None, text: str
 
 
 def identify(docs: DataFrame, held_out: Column, **how) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score); only rows that are not ``held_out`` teach."""
+    """(doc_id, held_out, lang_pred, score); only rows that are not ``held_out`` teach. Where that is null (no id), a row is not held out and teaches nothing."""
     names, tables = fit(docs.select("doc_id", "text", "lang").where(~held_out), **how)
-    return predict(docs.select("doc_id", "text", held_out.alias("held_out")), names, tables)
+    return predict(docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out")), names, tables)

@@ -60,12 +60,13 @@ def corpus(n=400):
 
 def test_held_out_accuracy_and_odd_rows(spark):
     rows = corpus()
-    odd = [(1000, None, "aa"), (1001, "", "aa"), (1002, "12 34 ... !", "aa"), (1003, "und die " * 100_000, None), (5, rows[5][1], rows[5][2]), (1004, "日本語", None)]
+    odd = [(1000, None, "aa"), (1001, "", "aa"), (1002, "12 34 ... !", "aa"), (1003, "und die " * 100_000, None), (5, rows[5][1], rows[5][2]), (1004, "日本語", None), (None, "und die mit", "aa")]
     docs = spark.createDataFrame(rows + odd, DOCS).withColumn("score", F.lit("x"))
     out = q.identify(docs, id_crc() % 4 == 2).collect()
     assert len(out) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in out)
     held = [r for r in out if r.held_out and r.doc_id < 1000]
     assert len(held) > 60 and all(r.lang_pred == ["aa", "bb", "cc"][r.doc_id % 3] for r in held)
+    assert [(r.held_out, r.lang_pred) for r in out if r.doc_id is None] == [(False, "bb")]
     by_id = {r.doc_id: r for r in out}
     assert [by_id[k].lang_pred for k in (1000, 1001, 1002, 1003)] == ["und", "und", "und", "bb"]
     assert by_id[1000].score == 0 and by_id[1004].lang_pred in ("aa", "bb", "cc")
