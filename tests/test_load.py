@@ -323,3 +323,37 @@ def test_folder_and_stream(spark, registry, folder):
     got = sorted((r.date, r.house_residual) for r in sinks.read_ledger(spark, path).collect())
     assert got == [(dt.date(2024, 5, 1), Decimal("1.50")), (dt.date(2024, 6, 1), Decimal("2.50"))]
     assert [r.reason for r in spark.read.parquet(f"{folder}/rejects/batch=1").collect()] == ["already_loaded"]
+
+
+@pytest.mark.parametrize("breaks", ["before append", "after append", "inside append"])
+def test_broken_batch_is_replayed(spark, registry, folder, monkeypatch, breaks):
+    """A batch that breaks off anywhere and runs again leaves the same ledger and the same refusals."""
+    import os
+    inbox, path = f"{folder}/in", f"{folder}/revenue"
+    os.mkdir(inbox)
+    for name, mids in (("Alpha May2024.csv", "2 2 4"), ("Alpha Jun2024.csv", "404"), ("Nobody.csv", "2")):
+        with open(f"{inbox}/{name}", "w") as f:
+            f.write("ID,Name,Vol,Tot,Net\n" + "".join(f"{m},x,10,1,1.50\n" for m in mids.split()))
+    def now():
+        return tables(spark, sinks.read_ledger(spark, path) if os.path.exists(path) else None)
+    def run():
+        writer = load_stream(spark, inbox, path, f"{folder}/rejects", registry, now, "me", clock=lambda: CLOCK)
+        writer.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start().awaitTermination()
+    append = sinks.append_ledger
+    def broken(rows, *where):
+        if breaks == "after append":
+            append(rows, *where)
+        elif breaks == "inside append":
+            append(rows.limit(1), *where)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(sinks, "append_ledger", broken)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    refused = lambda: sorted((os.path.basename(r.path), r.reason) for r in spark.read.parquet(f"{folder}/rejects/batch=0").collect())
+    first = refused()
+    monkeypatch.setattr(sinks, "append_ledger", append)
+    run()
+    assert refused() == first and [reason for _, reason in first] == ["statement_rejected", "filename_format"]
+    lines = sinks.read_ledger(spark, path).collect()
+    assert sorted((r.date.month, r.mid, r.house_residual) for r in lines) == [(5, m, Decimal("1.50")) for m in ("2", "2", "4")]
+    assert [r.reject for r in spark.read.parquet(f"{folder}/rejects-lines/batch=0").collect()] == ["missing_merchant"]
