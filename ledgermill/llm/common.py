@@ -65,22 +65,23 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, hot: Column, how: str
     return left.join(few, key, "inner").select(*rest.columns).unionByName(rest)
 
 
-def number_rows(df: DataFrame, group: str, order: list[Column], name: str, rows_per_chunk: int = 50_000, total: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, group: str, order: list[Column], name: str, total: int, rows_per_chunk: int = 50_000) -> DataFrame:
     """Number the rows of each group from 0, gapless, without a window over a whole group.
 
-    The order inside a group is (chunk, ``order``), where chunk is a hash (MD5) of the first of ``order``. Each window
+    Rows are ordered by the first 32 bits of a hash (MD5) of the first of ``order``, then by ``order``. Chunks are ranges of that hash,
+    so their number (from ``total``) decides how the work is cut but not the order. Each window
     covers one chunk of one group; the chunks' first numbers come from running sums of chunk counts.
     Rows that are equal in ``order`` share a chunk (as do those without the first) and are numbered in any order among themselves.
     ``group`` must not be null.
     """
-    total = df.count() if total is None else total
     chunks = max(1, -(-total // rows_per_chunk), min(64, -(-total // 500)))  # few rows are spread, too
-    keyed = df.withColumn("_chunk", F.coalesce(F.conv(F.substring(F.md5(order[0].cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % chunks, F.lit(0)))
+    prefix = F.conv(F.substring(F.md5(order[0].cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    keyed = df.withColumn("_hash", F.coalesce(prefix, F.lit(0))).withColumn("_chunk", F.shiftright(F.col("_hash") * chunks, 32))
     counts = keyed.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long")).drop("_n")
-    inside = Window.partitionBy(group, "_chunk").orderBy(*order)
+    inside = Window.partitionBy(group, "_chunk").orderBy("_hash", *order)
     numbered = keyed.withColumn("_row", F.row_number().over(inside).cast("long") - 1)
     starts = starts.withColumnsRenamed({group: "_g", "_chunk": "_c"})
     joined = numbered.join(starts, (F.col(group) == F.col("_g")) & (F.col("_chunk") == F.col("_c")))
-    return joined.withColumn(name, F.col("_start") + F.col("_row")).drop("_g", "_c", "_chunk", "_row", "_start")
+    return joined.withColumn(name, F.col("_start") + F.col("_row")).drop("_g", "_c", "_chunk", "_row", "_start", "_hash")

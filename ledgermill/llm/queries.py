@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import compression_quality, conversation_repair, ego_join, license_scan, pfair_mix, phrase_mining, pii_surrogates, piece_lattice, ppm_langid, quality_rules, resharding, simhash, warc_writer
-from ledgermill.llm.common import id_crc, table
+from ledgermill.llm.common import id_crc, stage, table
 from ledgermill.llm.sql import EMBEDDING_LINKS, MIXED, PHRASES, WARC_RECORDS, licenses
 
 #: A path parameter; the file is never copied.
@@ -14,6 +14,8 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: For the test tables only; real runs pass a secret.
 SURROGATE_KEY = "a key for the test tables"
 OLD_SHARDS, NEW_SHARDS = 12, 16
+#: Mixing targets go from 1 to this, by source.
+TARGETS = 4
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +65,12 @@ def op9_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pfair_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    """Whole documents laid out in mixed order; the result is what the stored rows say. Sources by name have targets 1, 2, 3, 4, 1 and so on."""
+    docs = table(spark, sf_dir, "documents")
+    names = sorted((r[0] for r in docs.select("source").distinct().collect()), key=lambda x: (x is not None, x))  # components of the mixture
+    mixed = pfair_mix.mix(docs, {name: 1.0 + k % TARGETS for k, name in enumerate(names)})
+    laid = stage(pfair_mix.lay_out(mixed), "mixed")
+    return pfair_mix.positions(laid.select("doc_id", "source", *pfair_mix.RESULTS))
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,13 +22,12 @@ SELECT v.vec_id, CAST(coalesce(counts.n, 0) AS BIGINT) AS n_links, roots.root AS
 FROM v JOIN roots ON roots.a = v.vec_id LEFT JOIN counts ON counts.a = v.vec_id
 """
 
-# Rows of a source in order of (chunk, id); earliest deadline first over one period of 1,000 slots; blocks of 32 rows.
+# Targets 1 to 4 by source; rows of a source in order of (hash, id); earliest deadline first over one period of 1,000 slots; blocks of 32 rows.
 MIXED = """
-WITH RECURSIVE d AS (
-  SELECT doc_id, source, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % (SELECT greatest(1, (count(*) + 49999) // 50000, least(64, (count(*) + 499) // 500)) FROM documents) AS chunk
-  FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS hash FROM documents),
 s AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) AS k FROM documents GROUP BY source),
-e AS (SELECT *, sqrt(n) / (SELECT sum(sqrt(n)) FROM s) * (1000 - (SELECT count(*) FROM s)) AS exact FROM s),
+x AS (SELECT *, CAST(1 + (k - 1) % 4 AS DOUBLE) AS target FROM s),
+e AS (SELECT *, target / (SELECT sum(target) FROM x) * (1000 - (SELECT count(*) FROM s)) AS exact FROM x),
 q AS (SELECT *, 1 + CAST(floor(exact) AS BIGINT) AS least, row_number() OVER (ORDER BY floor(exact) - exact, k) AS turn FROM e),
 w AS (SELECT source, n, k, least + CASE WHEN turn <= 1000 - (SELECT sum(least) FROM q) THEN 1 ELSE 0 END AS a FROM q),
 l AS (SELECT list(a ORDER BY k) AS a, list(n ORDER BY k) AS n FROM w),
@@ -43,7 +42,7 @@ edf AS (
 plan AS (
   SELECT e1.pick AS k, e0.done[e1.pick] AS nth, e0.t AS slot, e0.done AS before FROM edf e1 JOIN edf e0 ON e0.t = e1.t - 1),
 r AS (
-  SELECT d.doc_id, d.source, w.k, w.a, row_number() OVER (PARTITION BY d.source ORDER BY d.chunk, d.doc_id) - 1 AS i
+  SELECT d.doc_id, d.source, w.k, w.a, row_number() OVER (PARTITION BY d.source ORDER BY d.hash, d.doc_id) - 1 AS i
   FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source)
 SELECT r.doc_id, r.source, CAST(i // 32 AS BIGINT) AS block, CAST(i % 32 AS BIGINT) AS block_row,
   CAST(i // 32 // r.a * 1000 + plan.slot AS BIGINT) AS slot,
