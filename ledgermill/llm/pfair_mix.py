@@ -27,7 +27,8 @@ from pyspark.sql import Window
 from ledgermill.llm.common import number_rows
 
 RESULTS = ("block", "block_row", "slot")
-SPAN = 4096
+#: Slots numbered at once, and counts of such spans summed at once.
+SPAN, COUNTS = 64, 65536
 
 
 def shares(sizes: list[float], period: int) -> list[int]:
@@ -126,8 +127,8 @@ def positions(mixed: DataFrame) -> DataFrame:
         rows = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(n).over(rows), F.lit(0)).cast("long")
 
-    near = mixed.groupBy(F.expr(f"slot div {SPAN}").alias("_near")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_far", F.expr(f"_near div {SPAN}"))
-    far = near.groupBy("_far").agg(F.sum("_n").alias("_sum")).select("_far", earlier("_sum", order="_far").alias("_before"))  # one row in 16 million slots
+    near = mixed.groupBy(F.expr(f"slot div {SPAN}").alias("_near")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_far", F.expr(f"_near div {COUNTS}"))
+    far = near.groupBy("_far").agg(F.sum("_n").alias("_sum")).select("_far", earlier("_sum", order="_far").alias("_before"))  # one row in four million slots
     starts = near.select("_near", "_far", earlier("_n", "_far", order="_near").alias("_start")).join(far, "_far")
     starts = starts.select("_near", (F.col("_start") + F.col("_before")).alias("_start"))
     inside = Window.partitionBy("_near").orderBy("slot", "block_row")

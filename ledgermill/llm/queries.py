@@ -69,7 +69,7 @@ def op10_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     names = sorted((r[0] for r in docs.select("source").distinct().collect()), key=lambda x: (x is not None, x))  # components of the mixture
     mixed = pfair_mix.mix(docs, {name: 1.0 + k % TARGETS for k, name in enumerate(names)})
-    laid = stage(pfair_mix.lay_out(mixed), "mixed")
+    laid = stage(pfair_mix.lay_out(mixed), "mixed", "zstd")
     return pfair_mix.positions(laid.select("doc_id", "source", *pfair_mix.RESULTS))
 
 

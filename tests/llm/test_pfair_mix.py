@@ -47,6 +47,7 @@ def placed(spark, docs, *how, folder, **more):
 
 def test_positions_over_many_spans(spark, folder, monkeypatch):
     monkeypatch.setattr(q, "SPAN", 4)
+    monkeypatch.setattr(q, "COUNTS", 8)
     out = placed(spark, spark.createDataFrame(rows(), DOCS), {"a": 5.0, "b": 1.0}, folder=folder, block_rows=3, period=20)
     assert [r.position for r in out] == list(range(len(rows())))
     assert [(r.slot, r.block_row) for r in out] == sorted((r.slot, r.block_row) for r in out)
