@@ -2,7 +2,9 @@
 
 One zstandard dictionary is built from good, one from bad labelled texts. A whole text is compressed in
 pieces with either dictionary; the difference of the two sizes over their sum says which class its
-strings belong to, and a logistic curve fitted on labelled texts outside the dictionaries makes it a probability.
+strings belong to, and a rising curve fitted on labelled texts outside the dictionaries makes it a probability: steps by isotonic
+regression, joined by straight lines. Its rows are weighed so that the classes have the shares that they have among all labels
+that may teach, so among texts of score p about a share p is good.
 Pieces keep the difference meaningful in long texts, where one stream would learn the text itself.
 
 Defined results: a null text counts as empty; without any piece the difference is 0 and the score that of an even text. Labels
@@ -12,7 +14,6 @@ other than 0 and 1 teach nothing; if either class has none, every score is the s
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,11 +32,10 @@ PIECE = 512
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries (bad, good), the curve's slope and offset, and the compression level."""
+    """Dictionaries (bad, good), the curve's points (differences rising, scores rising) and the compression level."""
 
     dictionaries: tuple[bytes, bytes]
-    slope: float
-    offset: float
+    curve: tuple[np.ndarray, np.ndarray]
     level: int
 
 
@@ -66,21 +66,33 @@ def dictionary(texts: list[bytes], size: int) -> bytes:
         return b"".join(pieces)[-size:]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, float]:
-    """Slope and offset by Newton steps; classes weigh the same, so that one half is the even point."""
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    scale = np.abs(x).max() or 1.0
-    design = np.stack([x / scale, np.ones_like(x)], axis=1)
-    beta = np.zeros(2)
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        slope = design.T @ (weight * (p - y)) + ridge * beta * (1, 0)
-        curve = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag([ridge, 1e-9])
-        step = np.linalg.solve(curve, slope)
-        beta -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(beta[0] / scale), float(beta[1])
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, least: float = 20.0) -> tuple[np.ndarray, np.ndarray]:
+    """Points of the rising curve that fits ``y`` best. Rows in order of ``x`` form pools of ``least`` rows (rows of equal ``x`` share one); neighbours whose
+    shares do not rise are pooled. Half a row of either class is added to a pool, so no score is 0 or 1."""
+    values, at = np.unique(x, return_inverse=True)
+    sums = np.stack([np.bincount(at, v, len(values)) for v in (x * weight, y * weight, weight, np.ones(len(x)))], axis=1)
+    rows = np.cumsum(sums[:, 3])
+    bins = np.unique((rows - sums[:, 3]) // least, return_index=True)[1]
+    pools: list[np.ndarray] = []
+
+    def share(p: np.ndarray) -> float:
+        return (p[1] + 0.5) / (p[2] + 1.0)
+
+    for new in np.add.reduceat(sums, bins, axis=0):
+        pools.append(new)
+        while len(pools) > 1 and share(pools[-2]) >= share(pools[-1]):
+            last = pools.pop()
+            pools[-1] = pools[-1] + last
+    return np.array([p[0] / p[2] for p in pools]), np.array([share(p) for p in pools])
+
+
+def probability(x: np.ndarray, curve: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Scores on the curve; beyond its ends they go on, ever more slowly, so that a greater difference never scores less."""
+    points, shares = curve
+    inside = np.interp(x, points, shares)
+    span = max(points[-1] - points[0], 1e-6)
+    over, under = np.maximum(x - points[-1], 0) / span, np.maximum(points[0] - x, 0) / span
+    return inside + (1 - shares[-1]) / 2 * over / (1 + over) - shares[0] / 2 * under / (1 + under)
 
 
 def fit(
@@ -102,7 +114,7 @@ def fit(
     picked = there.join(F.broadcast(known.where(turn < limit)), id_column)  # about class_rows ids a class; texts stay where they are
     if len(sums) < 2:
         share = 0.5 if not sums else float(next(iter(sums)))
-        return Model((b"", b""), 0.0, math.log(max(share, 1e-3) / max(1 - share, 1e-3)), level)
+        return Model((b"", b""), (np.zeros(1), np.array([share])), level)
     calibrates = F.pmod(F.xxhash64(id_column, F.lit(1)), F.lit(4)) == 0
     got = picked.select("q", F.encode(text, "UTF-8").alias("t"), calibrates.alias("c"), turn.alias("u")).collect()
     got.sort(key=lambda r: (r["q"], r["u"], bytes(r["t"])))
@@ -112,23 +124,26 @@ def fit(
     apart = [r for r in got if r["c"]]
     if len({r["q"] for r in apart}) < 2:
         apart = got
-    slope, offset = logistic(np.array([scorer.difference(bytes(r["t"])) for r in apart]), np.array([r["q"] for r in apart]))
-    return Model(dictionaries, slope, offset, level)
+    y = np.array([r["q"] for r in apart])
+    # what a row of either class stands for, so that the classes keep their shares; on average 1
+    stands = {q: sums[q][1] / sum(n for _, n in sums.values()) * len(y) / max(1, (y == q).sum()) for q in (0, 1)}
+    x = np.array([scorer.difference(bytes(r["t"])) for r in apart])
+    return Model(dictionaries, isotonic(x, y.astype(float), np.array([stands[q] for q in y.tolist()])), level)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without its text, with ``difference`` and ``score`` (0 to 1, higher: better)."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.dictionaries, model.level, model.slope, model.offset))  # two dictionaries
+    shared = docs.sparkSession.sparkContext.broadcast((model.dictionaries, model.level, model.curve))  # two dictionaries
     kept = [c for c in docs.columns if c != text]
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c != text) + ", difference double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionaries, level, slope, offset = shared.value
-        scorer = Scorer(dictionaries, level) if slope else None
+        dictionaries, level, curve = shared.value
+        scorer = Scorer(dictionaries, level) if any(dictionaries) else None
         for batch in batches:
             texts = batch.column(text).cast(pa.binary())
             x = np.array([scorer.difference(t or b"") if scorer else 0.0 for t in texts.to_pylist()], np.float64)
-            p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -500, 500)))
+            p = probability(x, curve)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(x), pa.array(p)], names=[*kept, "difference", "score"])
 
     return docs.select(*kept, F.col(text).cast("string").alias(text)).mapInArrow(run, schema)
