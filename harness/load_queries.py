@@ -62,6 +62,19 @@ WHERE EXISTS (SELECT 1 FROM revenue r WHERE r.date = s.date AND {_on})""")
 WHERE NOT EXISTS (SELECT 1 FROM revenue r WHERE r.date = s.date AND {_on})""")
 
 
+def mixed_case(v: Views) -> DataFrame:
+    """Claims whose names are written in lower case for every other month, and as they are for the rest."""
+    return claims(v).withColumn("iso", F.when(F.month("date") % 2 == 0, F.lower("iso")).otherwise(F.col("iso")))
+
+
+_CASED = f"(SELECT date, CASE WHEN EXTRACT(MONTH FROM date) % 2 = 0 THEN lower(iso) ELSE iso END AS iso, concat(iso, ' ', CAST(date AS VARCHAR)) AS path FROM {CLAIMS}) s"
+_SAME = "EXISTS (SELECT 1 FROM revenue r WHERE r.date = s.date AND lower(r.iso) = lower(s.iso))"
+register("load_already_loaded_caseless", lambda v: load.already_loaded(mixed_case(v), v.revenue, "caseless").select("path", "date", "iso"),
+         f"SELECT path, date, iso FROM {_CASED} WHERE {_SAME}")
+register("load_not_loaded_caseless", lambda v: load.not_loaded(mixed_case(v), v.revenue, "caseless").select("path", "date", "iso"),
+         f"SELECT path, date, iso FROM {_CASED} WHERE NOT {_SAME}")
+
+
 def statement_lines(v: Views) -> DataFrame:
     """Ledger lines as freshly extracted ones: twice per merchant, some ids unknown, some names empty."""
     rows = W.lines(v)

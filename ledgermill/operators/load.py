@@ -46,13 +46,18 @@ UNREADABLE = "unreadable_file"
 
 # --- L1: what is already there --------------------------------------------------------------
 
+def _key(match: str) -> Column:
+    """The form in which a partner's name is compared."""
+    return F.lower("iso") if match == "caseless" else F.col("iso")
+
+
 def _claims(rows: DataFrame, match: str, *aggregates: Column) -> DataFrame:
     """(date, iso) keys that block a statement. With ``match="prefix"`` a loaded name blocks
     every name it starts with, so each name stands for all of its prefixes; that turns the
-    prefix comparison into an equality."""
-    if match not in ("exact", "prefix"):
-        raise ValueError("match must be 'exact' or 'prefix'")
-    iso = F.col("iso")
+    prefix comparison into an equality. With ``"caseless"`` names are the same that differ in case only."""
+    if match not in ("exact", "caseless", "prefix"):
+        raise ValueError("match must be 'exact', 'caseless' or 'prefix'")
+    iso = _key(match)
     if match == "prefix":
         iso = F.explode(F.transform(F.sequence(F.lit(0), F.length("iso")), lambda n: F.substring("iso", F.lit(1), n)))
     kept = [c for c in rows.columns if c not in ("date", "iso")]
@@ -83,7 +88,7 @@ def _names(statements: DataFrame, sheets: Iterable[str] | None = None) -> DataFr
 def flag_loaded(statements: DataFrame, ledger: DataFrame, match: str = "exact", sheets: Iterable[str] | None = None) -> DataFrame:
     """Statements with ``is_loaded``: whether their partner and month are in the ledger."""
     claims = _claims(_of_months(ledger, statements), match)
-    found = _names(statements, sheets).join(claims, ["date", "iso"], "left_semi").select("path").distinct()
+    found = _names(statements, sheets).withColumn("iso", _key(match)).join(claims, ["date", "iso"], "left_semi").select("path").distinct()
     return statements.join(found.withColumn("is_loaded", F.lit(True)), "path", "left").withColumn("is_loaded", F.coalesce("is_loaded", F.lit(False)))
 
 
@@ -250,7 +255,7 @@ def load_statements(
     names = sound.union(own).distinct()
     claims = _claims(names, match, F.min("path").alias("_winner"))
     late = (
-        names.join(claims, ["date", "iso"])
+        names.withColumn("iso", _key(match)).join(claims, ["date", "iso"])
         .filter(F.col("_winner") < F.col("path")).select("path").distinct().withColumn("reason", F.lit(DUPLICATE))
     )
     per_path = checked.groupBy("path").agg(F.max("reject").alias("_reject"))
@@ -284,7 +289,8 @@ def manual_revenue(
     good = entries.filter(whole)
     earlier = _claims(good.select("date", "iso", "seq"), match, F.min("seq").alias("_first"))
     loaded = _claims(_of_months(ledger, good), match).withColumn("_loaded", F.lit(True))
-    judged = good.join(earlier, ["date", "iso"], "left").join(loaded, ["date", "iso"], "left").withColumn(
+    keyed = good.withColumns({"_own": F.col("iso"), "iso": _key(match)})
+    judged = keyed.join(earlier, ["date", "iso"], "left").join(loaded, ["date", "iso"], "left").withColumn("iso", F.col("_own")).withColumn(
         "reason",
         F.when(F.col("_loaded"), ALREADY_LOADED).when(F.col("_first") < F.col("seq"), DUPLICATE),
     )

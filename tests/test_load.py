@@ -98,6 +98,18 @@ def test_prefix_guard(spark):
     assert load.already_loaded(wanted, ledger, "exact").count() == 0
 
 
+def test_caseless_guard(spark, registry):
+    ledger = spark.createDataFrame([(dt.date(2024, 5, 1), "ALPHA")], "date date, iso string")
+    wanted = spark.createDataFrame([("a", dt.date(2024, 5, 1), "Alpha"), ("b", dt.date(2024, 6, 1), "alpha")], "path string, date date, iso string")
+    assert [r.path for r in load.already_loaded(wanted, ledger, "caseless").collect()] == ["a"]
+    assert load.already_loaded(wanted, ledger).count() == 0
+    entries = spark.createDataFrame([(1, dt.date(2024, 5, 1), "alpha", 1.0), (2, dt.date(2024, 6, 1), "alpha", 1.0), (3, dt.date(2024, 6, 1), "Alpha", 1.0)],
+                                    "seq int, date date, iso string, amount double")
+    rows, refused = load.manual_revenue(entries, ledger, "me", CLOCK, match="caseless")
+    assert [(r.iso, r.dba) for r in rows.collect()] == [("alpha", "alpha")]
+    assert {(r.seq, r.iso, r.reason) for r in refused.collect()} == {(1, "alpha", "already_loaded"), (3, "Alpha", "duplicate_in_batch")}
+
+
 def test_hot_merchant_first_line_only(spark):
     rows = [("p", 0, i, "1", f"n{i}", None) for i in range(2000)]
     lines = spark.createDataFrame(rows, "path string, sheet_idx int, row_idx bigint, mid string, dba string, reject string")
