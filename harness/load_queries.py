@@ -451,13 +451,18 @@ def _workbook(name: str, amount: str, key: int) -> bytes:
     return out.getvalue()
 
 
+# Tasks a core for writing and decoding workbooks.
+WORKBOOK_TASKS = 8
+
+
 def workbook_files(v: Views) -> DataFrame:
     def write(batches):
         for b in batches:
             yield pd.DataFrame({"path": b["c_name"] + ".xlsx", "content": [_workbook(n, a, k) for n, a, k in zip(b["c_name"], b["amount"], b["c_custkey"])]})
 
     rows = v.read("customer").select("c_name", F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("amount"), "c_custkey")
-    return rows.mapInPandas(write, "path string, content binary")
+    # customers may lie in one piece that a single task reads; workbooks cost far more than their rows
+    return rows.repartition(WORKBOOK_TASKS * v.spark.sparkContext.defaultParallelism, "c_custkey").mapInPandas(write, "path string, content binary")
 
 
 register("src_workbook_cells", lambda v: cells_of(workbook_cells.workbook_grid(workbook_files(v))), """
