@@ -209,26 +209,30 @@ def mid_insights(
     """Monthly totals with empty months filled by zero, for one merchant or for every merchant
     that has a ledger line.
 
-    The spine rows are unioned with the ledger rows as zeros and both are summed in one
-    aggregation; no join is needed and a hot merchant is combined map-side.
+    For one merchant the spine rows are unioned with the ledger rows as zeros and both are summed
+    in one aggregation. For every merchant a spine in front of an aggregation would give each task
+    all its merchants times all months to hold; there the lines are summed by merchant and month,
+    a merchant's sums are put into one row, and the months are laid out behind the last shuffle.
+    Neither needs a join, and a hot merchant is combined map-side.
     """
     require(start=start, end=end)
     spine = month_spine(start, end)
-    months = F.explode(F.array(*[F.lit(m) for m in spine])).alias("month")
-    on_spine = t.revenue.filter(F.col("date").isin(spine))
-    if mid is None:
-        mids, keys = t.revenue.select("mid").distinct(), ["mid"]
-    else:
-        mids, keys = t.revenue.sparkSession.range(1), []
-        on_spine = on_spine.filter(F.col("mid") == mid)
+    months = F.array(*[F.lit(m) for m in spine])
+    on_spine = F.col("date").isin(spine)
     amounts = ("total_residual", "house_residual")
-    zeros = mids.select(*keys, months, *[F.lit(0).cast("decimal(18,2)").alias(a) for a in amounts])
-    earned = on_spine.select(*keys, F.col("date").alias("month"), *amounts)
-    sums = (
-        zeros.unionByName(earned).groupBy(*keys, "month")
-        .agg(*[money(F.sum(a)).alias(a) for a in amounts])
-    )
-    return sums if mid is None else sums.orderBy("month")
+    if mid is None:
+        # a merchant without a line on the spine keeps one row, whose month is NULL
+        sums = (
+            t.revenue.groupBy("mid", F.when(on_spine, F.col("date")).alias("month"))
+            .agg(*[F.sum(a).alias(a) for a in amounts])
+            .groupBy("mid").agg(F.collect_list(F.struct("month", *amounts)).alias("sums"))
+        )
+        laid = sums.select("mid", "sums", F.explode(months).alias("month"))
+        own = F.get(F.filter("sums", lambda s: s["month"] == F.col("month")), F.lit(0))
+        return laid.select("mid", "month", *[money(own[a]).alias(a) for a in amounts])
+    zeros = t.revenue.sparkSession.range(1).select(F.explode(months).alias("month"), *[F.lit(0).cast("decimal(18,2)").alias(a) for a in amounts])
+    earned = t.revenue.filter(on_spine & (F.col("mid") == mid)).select(F.col("date").alias("month"), *amounts)
+    return zeros.unionByName(earned).groupBy("month").agg(*[money(F.sum(a)).alias(a) for a in amounts]).orderBy("month")
 
 
 def _monthly(rows: DataFrame, *keys: str) -> DataFrame:

@@ -1,10 +1,15 @@
 """Queries whose work has to spread over tasks, whatever the layout of the tables."""
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from harness import load_queries
 from harness.views import Views
+from ledgermill.plans import reports
 from ledgermill.sources import workbook_cells
+from ledgermill.sources.tables import LedgerTables
 
 
 def customers(spark, folder, n=200):
@@ -21,3 +26,16 @@ def test_workbooks_of_one_piece_are_decoded_by_many_tasks(spark, folder):
     tasks = grid.select("path", F.spark_partition_id().alias("task")).distinct().groupBy("task").count().collect()
     assert len(tasks) > spark.sparkContext.defaultParallelism
     assert sum(r["count"] for r in tasks) == 200 and max(r["count"] for r in tasks) < 50
+
+
+def test_months_of_all_merchants_are_laid_out_behind_the_last_shuffle(spark):
+    rows = [(dt.date(2024, 5, 1), "1", "2.50"), (dt.date(2024, 5, 1), "1", "1.00"), (dt.date(2024, 6, 1), "2", "7.00"),
+            (dt.date(2024, 6, 1), None, "3.00"), (dt.date(2023, 1, 1), "3", "9.00"), (dt.date(2024, 6, 1), "3", None)]
+    revenue = spark.createDataFrame([(d, m, x and Decimal(x), x and -Decimal(x)) for d, m, x in rows], "date date, mid string, total_residual decimal(18,2), house_residual decimal(18,2)")
+    tables = LedgerTables(revenue=revenue, merchants=None, iso=None, adjustments=None, payments=None, sic_codes=None)
+    report = reports.mid_insights(tables, "2024-05-01", "2024-06-15")
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")  # printed from the result down
+    found = {(r.mid, r.month.month): (r.total_residual, r.house_residual) for r in report.collect() if r.total_residual}
+    assert report.count() == 4 * 3
+    assert found == {("1", 5): (3.5, -3.5), ("2", 6): (7.0, -7.0), (None, 6): (3.0, -3.0)}
