@@ -76,6 +76,6 @@ def list_files(spark: SparkSession, location: str, names: str = "*") -> DataFram
 
 def read_csv_grid(spark: SparkSession, location: str | list[str]) -> DataFrame:
     """Grid rows of every CSV file below a folder, behind a glob or in a list of files, whatever its size."""
-    from ledgermill.sources.csv_lines import read_lines, records
+    from ledgermill.sources.csv_lines import read_records
 
-    return _grid(records(read_lines(spark, location)))
+    return _grid(read_records(spark, location))

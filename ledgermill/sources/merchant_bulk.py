@@ -56,7 +56,7 @@ def read_merchant_csv(spark: SparkSession, location: str | list[str]) -> DataFra
     The first record of a file is its header; columns beyond the known ones are left out. ``line`` orders records by path and by their number in the
     file, which follows from the counts of its splits. A file that is no UTF-8 or ends inside a quote has one row, with the reason in ``problem``.
     """
-    found = csv_lines.records(csv_lines.read_lines(spark, location)).filter("row_idx <> 0")
+    found = csv_lines.read_records(spark, location).filter("row_idx <> 0")
     cells = found.withColumn("cells", F.map_from_entries(F.transform(csv_cells.fields(F.col("record")), lambda c: F.struct(c["col_idx"], c["value"]))))
     columns = [F.try_element_at("cells", F.lit(k)).alias(c) for k, c in enumerate(BULK_COLUMNS)]
     return cells.select(*columns, F.struct("path", "row_idx").alias("line"), "problem")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from harness import load_queries
 from harness.views import Views
 from ledgermill.plans import reports
-from ledgermill.sources import workbook_cells
+from ledgermill.sources import csv_lines, workbook_cells
 from ledgermill.sources.tables import LedgerTables
 
 
@@ -39,3 +39,17 @@ def test_months_of_all_merchants_are_laid_out_behind_the_last_shuffle(spark):
     found = {(r.mid, r.month.month): (r.total_residual, r.house_residual) for r in report.collect() if r.total_residual}
     assert report.count() == 4 * 3
     assert found == {("1", 5): (3.5, -3.5), ("2", 6): (7.0, -7.0), (None, 6): (3.0, -3.0)}
+
+
+def test_lines_of_one_split_are_sorted_by_many_tasks(spark, folder, monkeypatch):
+    with open(f"{folder}/one.csv", "w") as f:
+        f.write("".join(f'{i},"a\n\n{i}"\n\n' for i in range(200)))
+    monkeypatch.setattr(csv_lines, "CHUNK_BITS", 4)
+    lines = csv_lines.read_lines(spark, folder)
+    windows = [p for p in csv_lines.records(lines)._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in p and "seq#" in p]
+    assert windows and all("chunk#" in p.split("], [")[1] for p in windows)
+    got = sorted((r.row_idx, r.record, r.problem) for r in csv_lines.records(lines).collect())
+    assert got == [(i, f'{i},"a\n\n{i}"', None) for i in range(200)]
+    with open(f"{folder}/one.csv", "a") as f:
+        f.write('"never\n' + "x\n" * 50)
+    assert [tuple(r) for r in csv_lines.records(csv_lines.read_lines(spark, folder)).select("row_idx", "record", "problem").collect()] == [(-1, "", "unclosed quote")]
