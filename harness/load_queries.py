@@ -487,6 +487,7 @@ register("snk_ledger_append", written_ledger, f"SELECT {LEDGER} FROM revenue")
 
 def months_deleted(v: Views) -> tuple[str, str, DataFrame]:
     """The stored ledger after partner-months, and one whole month, were deleted from it."""
+    W.derive_once(v)
     folder = f"{sinks.shared_folder(v.spark)}/deleted-{uuid.uuid4().hex}"
     sinks.append_ledger(v.revenue, f"{folder}/revenue")
     whole = v.iso.select(F.lit("1996-01-01").cast("date").alias("date"), "iso")
@@ -508,14 +509,26 @@ register("snk_ledger_delete_refused", lambda v: months_deleted(v)[2],
 
 
 def stored_ledger(v: Views) -> str:
+    """The ledger stored; the view's own is kept too, since the edits are taken from it."""
+    W.derive_once(v)
     folder = f"{sinks.shared_folder(v.spark)}/edited-{uuid.uuid4().hex}"
     sinks.append_ledger(v.revenue, folder)
     return folder
 
 
-register_stored("snk_ledger_update", lambda v: sinks.update_ledger(v.spark, ledger_changes(v), stored_ledger(v)).table, "chg_ledger_update")
-register_stored("snk_ledger_update_refused", lambda v: sinks.update_ledger(v.spark, ledger_changes(v), stored_ledger(v)).refused, "chg_ledger_update_refused")
-register_stored("snk_lines_delete", lambda v: sinks.delete_lines(v.spark, ledger_keys(v), stored_ledger(v)).table, "chg_ledger_delete")
+def ledger_updated(v: Views) -> changes.Changed:
+    folder = stored_ledger(v)
+    return sinks.update_ledger(v.spark, ledger_changes(v), folder)
+
+
+def lines_deleted(v: Views) -> changes.Changed:
+    folder = stored_ledger(v)
+    return sinks.delete_lines(v.spark, ledger_keys(v), folder)
+
+
+register_stored("snk_ledger_update", lambda v: ledger_updated(v).table, "chg_ledger_update")
+register_stored("snk_ledger_update_refused", lambda v: ledger_updated(v).refused, "chg_ledger_update_refused")
+register_stored("snk_lines_delete", lambda v: lines_deleted(v).table, "chg_ledger_delete")
 
 
 def logged_changes(v: Views) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.operators.changes import Changed, iso_month_delete, ledger_delete, ledger_update
+from ledgermill.operators.changes import LEDGER_KEYS, Changed, iso_month_delete, ledger_delete, ledger_update
 from ledgermill.schemas import LEDGER_COLUMNS, LEDGER_SCHEMA
 
 SALTS = 64
@@ -106,21 +106,22 @@ def rewrite_months(table: DataFrame, touched: DataFrame, path: str) -> None:
         _delete_folder(table.sparkSession, f"{path.rstrip('/')}/date={month.isoformat()}")
 
 
-def change_ledger(spark: SparkSession, path: str, keys: DataFrame, make: Callable[[DataFrame], Changed], audit_path: str | None = None) -> Changed:
+def change_ledger(spark: SparkSession, path: str, edits: DataFrame, make: Callable[[DataFrame, DataFrame], Changed], audit_path: str | None = None) -> Changed:
     """Apply a batch of edits to the stored ledger and return what came of it, to be read at any time later.
 
-    The plan is stored first, below the shared folder: the new lines of the months in ``keys``, what is refused and the audit. Then the audit is
+    The edits are stored before all else: they are looked at several times, and deriving them may cost more than applying them. Then the plan is stored, below the shared folder: the new lines of the months in ``edits``, what is refused and the audit. Then the audit is
     appended, and the months are replaced from the plan, which no longer depends on the files it replaces. Other months are neither read nor written.
     A job that breaks off and runs again finds what is left to do, and adds a second audit only for that.
     """
     stage = stage_in(spark, shared_folder(spark))
-    months = [r["date"] for r in keys.select("date").distinct().collect() if r["date"]]  # calendar months
-    done = make(read_ledger(spark, path).filter(F.col("date").isin(months) if months else F.lit(False)))
+    edits = stage(edits, "edits")
+    months = [r["date"] for r in edits.select("date").distinct().collect() if r["date"]]  # calendar months
+    done = make(read_ledger(spark, path).filter(F.col("date").isin(months) if months else F.lit(False)), edits)
     lines, refused = stage(done.table.select(*LEDGER_COLUMNS), "lines"), stage(done.refused, "refused")
     audit = None if done.audit is None else stage(done.audit, "audit")
     if audit is not None and audit_path:
         audit.write.mode("append").parquet(audit_path)
-    rewrite_months(lines, keys.filter(F.col("date").isNotNull()), path)
+    rewrite_months(lines, edits.filter(F.col("date").isNotNull()), path)
     return Changed(read_ledger(spark, path), refused, audit)
 
 
@@ -128,17 +129,17 @@ def update_ledger(spark: SparkSession, changes: DataFrame, path: str, updated_by
     """Edit stored lines (see ``ledger_update``). With ``log_path`` the change log is kept."""
     if log_path and updated_at is not None:
         log_changes(changes.select("date", F.lit(str(updated_at)).cast("timestamp_ntz").alias("updated_at")), log_path)
-    return change_ledger(spark, path, changes, lambda ledger: ledger_update(ledger, changes, updated_by, updated_at))
+    return change_ledger(spark, path, changes, lambda ledger, edits: ledger_update(ledger, edits, updated_by, updated_at))
 
 
 def delete_lines(spark: SparkSession, keys: DataFrame, path: str) -> Changed:
     """Delete stored lines by (date, iso, mid)."""
-    return change_ledger(spark, path, keys, lambda ledger: ledger_delete(ledger, keys))
+    return change_ledger(spark, path, keys.select(*LEDGER_KEYS), ledger_delete)
 
 
 def delete_partner_months(spark: SparkSession, keys: DataFrame, path: str, audit_path: str, deleted_by: str) -> DataFrame:
     """Delete the (date, iso) pairs in ``keys`` from the stored ledger and store the audit rows. Returns the refused keys."""
-    return change_ledger(spark, path, keys, lambda ledger: iso_month_delete(ledger, keys, deleted_by), audit_path).refused
+    return change_ledger(spark, path, keys.select("date", "iso"), lambda ledger, edits: iso_month_delete(ledger, edits, deleted_by), audit_path).refused
 
 
 def write_version(table: DataFrame, root: str) -> str:
