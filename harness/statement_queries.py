@@ -269,6 +269,7 @@ SHOWN = ("path", "sheet_idx", "row_idx", "iso", "mid", "dba", "volume", "total_r
 
 
 def layout_query(name: str, v: Views) -> DataFrame:
+    W.derive_once(v)
     grid = W.WRITERS[name](W.lines(v))
     if name == "form_per_sheet":
         out = form_sheets.form_per_sheet(grid)
@@ -323,7 +324,14 @@ LAYOUTS = {
     "active_sheet": expected("active_sheet", "hdr + 1 + pos", sheet="1"),
     "paynote": expected("paynote", "hdr + 1 + pos", volume=ceil_cents("volume"), total=ceil_cents("total_residual"), house=ceil_cents("house_residual"), mid=DASHED),
 }
-register("layout_payout_unreadable", lambda v: extract.read_layout(W.payout_period(W.lines(v), unreadable=True), "payout_period").select(*SHOWN), " UNION ALL ".join([
+
+
+def payout_unreadable(v: Views) -> DataFrame:
+    W.derive_once(v)
+    return extract.read_layout(W.payout_period(W.lines(v), unreadable=True), "payout_period").select(*SHOWN)
+
+
+register("layout_payout_unreadable", payout_unreadable, " UNION ALL ".join([
     expected("payout_period", "hdr + 1 + 2 * pos", total="0.0", house="CAST(house_residual + 1.5 AS DOUBLE)", where="pos % 6 NOT IN (1, 2)", path="full_path"),
     expected("payout_period", "hdr + 1 + 2 * pos", total="0.0", reject="'unreadable_date'", where="pos % 6 = 2", path="full_path"),
     expected("payout_period", "hdr + 2 + 2 * pos", volume="0.0", total="0.0", house="1.5", reject="'unreadable_date'", where="pos % 6 = 2", path="full_path"),

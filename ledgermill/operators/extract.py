@@ -149,42 +149,54 @@ def find_headers(
     return headers.select(*SHEET_KEYS, "header_row", "problem", *[f"at_{s}" for s in SLOTS])
 
 
+def _worked_out(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Rows with further columns, each worked out once a row. A generator of one row keeps the optimizer from copying
+    their expressions into every filter and column that uses them."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> DataFrame:
     """Lines below the headers, before grouping. A sheet whose header has a problem yields one
     rejected line, at the header row."""
+    payout = any(s.name == "payout_period" for s in specs)
+    if payout:  # the month in a file's name is looked up once a sheet
+        headers = headers.withColumn("_month", text.month_from_tokens(text.base_name(F.col("path"))))
     joined = grid.join(headers, list(SHEET_KEYS)).filter(
         (F.col("problem").isNull() & (F.col("row_idx") > F.col("header_row")))
         | (F.col("problem").isNotNull() & (F.col("row_idx") == F.col("header_row")))
     )
     cells = joined.select(
-        "path", "sheet_idx", "sheet", "row_idx", "iso", "date", "family", "problem",
+        "path", "sheet_idx", "sheet", "row_idx", "iso", "date", "family", "problem", *(["_month"] if payout else []),
         *[F.when(F.col("problem").isNull(), F.expr(f"get(filter(cells, c -> c.col_idx = at_{s}), 0)")).alias(s) for s in SLOTS],
     )
-    blank = F.lit(True)
+    blank, every = F.lit(True), F.lit(True)
     for slot in SLOTS:
         blank = blank & F.col(slot).isNull()
-    ids = cells.withColumn("mid_text", _case(specs, lambda s: s.mid, lambda rule: rule(F.col("mid"))))
+    for slot in ("mid", "dba", *AMOUNTS):
+        every = every & F.col(slot).isNotNull()
+    found = {
+        "mid_text": _case(specs, lambda s: s.mid, lambda rule: rule(F.col("mid"))), "dba_text": merchant_ids.canonical(F.col("dba")),
+        **{f"raw_{slot}": F.col(slot)["value"] for slot in (*AMOUNTS, "other")}, "is_blank": blank, "is_full": every,
+    }
+    if payout:
+        found["_day_text"] = F.when(F.col("family") == "payout_period", dates.without_time(F.col("other")["value"]))
+    ids = _worked_out(cells, **found).drop(*SLOTS)
     keeps_blank = [s.name for s in specs if s.keep_blank_mid]
     accepted = (
         F.col("problem").isNotNull() | F.col("mid_text").isNotNull()
-        | (F.col("family").isin(keeps_blank) & ~blank)
+        | (F.col("family").isin(keeps_blank) & ~F.col("is_blank"))
     )
     ids = ids.filter(accepted)
     complete = [s.name for s in specs if s.complete_rows]
     if complete:
-        full = F.col("problem").isNotNull() | ~F.col("family").isin(complete)
-        every = F.lit(True)
-        for slot in ("mid", "dba", *AMOUNTS):
-            every = every & F.col(slot).isNotNull()
-        ids = ids.filter(full | every)
-    if any(s.name == "payout_period" for s in specs):
-        month = text.month_from_tokens(text.base_name(F.col("path")))
+        ids = ids.filter(F.col("problem").isNotNull() | ~F.col("family").isin(complete) | F.col("is_full"))
+    if payout:
+        month = F.col("_month")
         ids = ids.withColumn(
             "problem", F.when((F.col("family") == "payout_period") & month.isNull(), REJECT_PERIOD)
             .otherwise(F.col("problem")),
         )
-        ids = ids.withColumn("_day_text", F.when(F.col("family") == "payout_period", dates.without_time(F.col("other")["value"])))
-        ids = ids.withColumn("_day", dates.day(F.col("_day_text")))
+        ids = _worked_out(ids, _day=dates.day(F.col("_day_text")))
         day_text, day = F.col("_day_text"), F.col("_day")
         # a line whose filled date says nothing is refused rather than left out
         lost = (F.col("family") == "payout_period") & (day_text != "") & day.isNull() & F.col("mid_text").isNotNull()
@@ -195,13 +207,13 @@ def read_lines(grid: DataFrame, headers: DataFrame, specs: list[Layout]) -> Data
         )
 
     money = {
-        slot: _case(specs, lambda s: s.money, lambda rule, slot=slot: rule(F.col(slot)["value"]))
+        slot: _case(specs, lambda s: s.money, lambda rule, slot=slot: rule(F.col(f"raw_{slot}")))
         for slot in (*AMOUNTS, "other")
     }
     parsed = ids.select(
         "path", "sheet_idx", "sheet", "row_idx", "iso", "date", "family", "problem",
-        F.col("mid_text").alias("mid"), merchant_ids.canonical(F.col("dba")).alias("dba"),
-        *[F.col(slot)["value"].alias(f"raw_{slot}") for slot in (*AMOUNTS, "other")],
+        F.col("mid_text").alias("mid"), F.col("dba_text").alias("dba"),
+        *[f"raw_{slot}" for slot in (*AMOUNTS, "other")],
         *[money[slot].alias(slot) for slot in (*AMOUNTS, "other")],
     )
     family = F.col("family")
